@@ -107,14 +107,15 @@ def with_term_counts(df: DataFrame, text: Column, *, out: str = "term_counts", *
         F.arrays_zip(e["term"].alias("term"), e["end"].alias("end"), F.concat(F.array(F.lit(0)), e["end"]).alias("start")),
         lambda r: F.struct(r["term"].alias("term"), (r["end"] - r["start"]).cast("bigint").alias("tf")),
     )
-    # concat leaves one element too many in "start"; it pairs with a missing term
-    return ends.select(*keep, F.filter(counts, lambda r: r["term"].isNotNull()).alias(out))
+    # "start" is one element longer than the others; that last pair has no term
+    whole = F.filter(counts, lambda r: r["term"].isNotNull())
+    return ends.select(*keep, F.coalesce(whole, F.array().cast("array<struct<term:string,tf:bigint>>")).alias(out))
 
 
 def top_terms(counts: Column, n: int = fixed.TOP_TERMS_PER_ARTICLE) -> Column:
     """The n most frequent terms of a counts array, by (-tf, term)."""
     keyed = F.transform(counts, lambda c: F.struct((-c["tf"]).alias("neg"), c["term"].alias("term")))
     return F.transform(
-        F.slice(F.array_sort(keyed), 1, n),
+        F.slice(F.sort_array(keyed), 1, n),
         lambda k: F.struct(k["term"].alias("term"), (-k["neg"]).alias("tf")),
     )

@@ -28,9 +28,8 @@ def ngram_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def article_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = t.counted(spark, sf_dir).select("article_id", txt.top_terms(F.col("term_counts")).alias("top"))
-    return top.select("article_id", F.posexplode("top")).select(
-        "article_id", (F.col("pos") + 1).cast("bigint").alias("rank"), F.col("col.term"), F.col("col.tf")
-    )
+    rows = top.select("article_id", F.posexplode_outer("top")).where(F.col("pos").isNotNull())
+    return rows.select("article_id", (F.col("pos") + 1).cast("bigint").alias("rank"), "col.term", "col.tf")
 
 
 def day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,10 +92,10 @@ def elect_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date",
         (F.col("pos") + 1).cast("bigint").alias("rank"),
         "c.term",
-        F.round("c.score", 4).alias("score"),
+        "c.score",
         "c.tf_today",
         "c.df_today",
-        F.round("c.avg_tf_baseline", 3).alias("avg_tf_baseline"),
+        "c.avg_tf_baseline",
         F.array_join("c.articles", ",").alias("articles"),
         _list("evidence_article_ids"),
     )

@@ -149,8 +149,8 @@ evid AS (
     SELECT a.date, a.article_id, row_number() OVER (PARTITION BY a.date ORDER BY a.article_id) AS rn
     FROM occ a JOIN ranked r ON a.date = r.date AND a.term = r.term AND r.rank = 1)
   WHERE rn <= 10 GROUP BY date)""")
-    + """ SELECT r.date, r.rank, r.term, round(r.score, 4) AS score, r.tf AS tf_today, r.df AS df_today,
-  round(r.avg_tf_baseline, 3) AS avg_tf_baseline, i.article_ids AS articles, e.evidence_article_ids
+    + """ SELECT r.date, r.rank, r.term, round(r.score, 6) AS score, r.tf AS tf_today, r.df AS df_today,
+  round(r.avg_tf_baseline, 4) AS avg_tf_baseline, i.article_ids AS articles, e.evidence_article_ids
 FROM ranked r JOIN ids i ON r.date = i.date AND r.term = i.term JOIN evid e ON e.date = r.date WHERE r.rank <= 10""",
     "event_type_trend": with_("""
 docs AS (SELECT CAST(ts AS DATE) AS date, event_type AS term, CAST(user_id AS VARCHAR) AS article_id FROM events)""", DAYS, """

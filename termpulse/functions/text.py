@@ -31,6 +31,10 @@ def ngrams(toks: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def _quoted(words: Iterable[str]) -> str:
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
 def _from(items: Column, start: int) -> Column:
     """The array from its ``start``-th element (1-based) to its end."""
     return F.slice(items, F.lit(start), F.greatest(F.size(items) - F.lit(start - 1), F.lit(0)))
@@ -51,34 +55,31 @@ def with_terms(
     An allowlisted gram always stays. Any other gram goes when one of its tokens is
     shorter than ``min_token_len`` or when all of its tokens are stopwords.
     """
+    # The lambdas are SQL text: building hundreds of literal columns one by one is slow.
     stop, allow = sorted(set(stopwords)), sorted(set(allowlist))
     keep = df.columns
-
-    def token_class(token: Column) -> Column:
-        stopped = token.isin(stop) if stop else F.lit(False)
-        return F.when(F.length(token) < min_token_len, SHORT).when(stopped, STOP).otherwise(WORD)
-
-    def kept_grams(at: Column) -> Column:
-        out_grams = []
-        for n in range(1, max_n + 1):
-            words = [at[f"t{i}"] for i in range(n)]
-            classes = [at[f"c{i}"] for i in range(n)]
-            gram = F.concat_ws(" ", *words) if n > 1 else words[0]
-            lowest = F.least(*classes) if n > 1 else classes[0]
-            total = sum(classes[1:], classes[0])
-            good = (lowest > SHORT) & (total > n * STOP)
-            listed = [a for a in allow if len(a.split(" ")) == n]
-            if listed:
-                good = good | (words[-1].isNotNull() & gram.isin(listed))
-            out_grams.append(F.when(good, gram))
-        return F.array(*out_grams)
+    stopped = f"when t in ({_quoted(stop)}) then {STOP}" if stop else ""
+    token_class = f"case when length(t) < {int(min_token_len)} then {SHORT} {stopped} else {WORD} end"
+
+    def kept_gram(n: int) -> str:
+        words = [f"w.t{i}" for i in range(n)]
+        classes = [f"w.c{i}" for i in range(n)]
+        gram = f"concat({', \' \', '.join(words)})" if n > 1 else words[0]
+        lowest = f"least({', '.join(classes)})" if n > 1 else classes[0]
+        good = f"({words[-1]} is not null and {lowest} > {SHORT} and {' + '.join(classes)} > {n * STOP})"
+        listed = [a for a in allow if len(a.split(" ")) == n]
+        if listed:
+            good += f" or {gram} in ({_quoted(listed)})"
+        return f"case when {good} then {gram} end"
+
+    kept_grams = f"array({', '.join(kept_gram(n) for n in range(1, max_n + 1))})"
 
     tok = df.select(*keep, tokens(text).alias("__tok"))
-    cls = tok.select(*keep, "__tok", F.transform("__tok", token_class).alias("__cls"))
+    cls = tok.select(*keep, "__tok", F.expr(f"transform(__tok, t -> {token_class})").alias("__cls"))
     shifted = [_from(F.col("__tok"), i + 1).alias(f"t{i}") for i in range(max_n)]
     shifted += [_from(F.col("__cls"), i + 1).alias(f"c{i}") for i in range(max_n)]
     windows = cls.select(*keep, F.arrays_zip(*shifted).alias("__at"))
-    bag = F.sort_array(F.array_compact(F.flatten(F.transform("__at", kept_grams))))
+    bag = F.sort_array(F.array_compact(F.flatten(F.expr(f"transform(__at, w -> {kept_grams})"))))
     return windows.select(*keep, bag.alias(out))
 
 

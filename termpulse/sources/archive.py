@@ -15,8 +15,9 @@ from termpulse.operators.links import issue_urls
 from termpulse.sources.feeds import _as_items, _first
 from termpulse.sources.landed import Landed, readable_pages
 
-_CHILD = r"(?is)<(?:\w+:)?sitemap\b[^>]*>\s*(?:(?!</(?:\w+:)?sitemap\b).)*?<(?:\w+:)?loc\b[^>]*>([^<]*)<"
-_LEAF = r"(?is)<(?:\w+:)?url\b[^>]*>\s*(?:(?!</(?:\w+:)?url\b).)*?<(?:\w+:)?loc\b[^>]*>([^<]*)<"
+_LOC = r".*?<loc\b[^>]*>\s*(?:<!\[CDATA\[)?([^<\]]*)"
+_CHILD = r"(?is)<sitemap\b[^>]*>" + _LOC
+_LEAF = r"(?is)<url\b[^>]*>" + _LOC
 
 
 def sitemap_urls(roots: DataFrame, sitemaps: DataFrame, depth: int = fixed.SITEMAP_DEPTH) -> DataFrame:

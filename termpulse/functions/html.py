@@ -16,11 +16,10 @@ _SKIPPED = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript)\b[^>]*>.*?(?:</\1\s
 _TAG = r"""<[A-Za-z/!?](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
-def _entity_names() -> Column:
-    pairs = []
-    for name, point in sorted(name2codepoint.items()):
-        pairs += [F.lit(name), F.lit(chr(point))]
-    return F.create_map(*pairs, F.lit("apos"), F.lit("'"))
+def _entities(below: int) -> Column:
+    """Name to character, as SQL text, of the named references under a code point."""
+    pairs = [f"'{name}', '{chr(point)}'" for name, point in sorted(name2codepoint.items()) if point < below]
+    return F.expr(f"map({', '.join(pairs)}, 'apos', '\\'')")
 
 
 def _code_point(number: Column) -> Column:
@@ -39,7 +38,9 @@ def unescape(text: Column) -> Column:
         value = (
             F.when(name.rlike("^#[xX]"), _code_point(hexed))
             .when(name.startswith("#"), _code_point(plain))
-            .otherwise(F.try_element_at(_entity_names(), name))
+            .when(p.startswith(F.concat(name, F.lit(";"))), F.try_element_at(_entities(0x110000), name))
+            # without a semicolon only the old Latin-1 names count
+            .otherwise(F.try_element_at(_entities(0x100), name))
         )
         rest = F.regexp_replace(p, r"^(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);?", "")
         return F.when((name == "") | value.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(value, rest))

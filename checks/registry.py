@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from checks import corpus_queries, corpus_sql, page_queries, page_sql
+from checks import corpus_queries, corpus_sql, page_queries, page_sql, report_queries, report_sql
 
 
 def queries() -> dict:
-    return {**corpus_queries.QUERIES, **page_queries.QUERIES}
+    return {**corpus_queries.QUERIES, **page_queries.QUERIES, **report_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**corpus_sql.SQL, **page_sql.SQL}
+    return {**corpus_sql.SQL, **page_sql.SQL, **report_sql.SQL}

@@ -34,11 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` in the raw item shape, with its day."""
-    d = table(spark, sf_dir, "documents")
+    return as_raw_items(spread(table(spark, sf_dir, "documents"), "doc_id"))
+
+
+def as_raw_items(documents: DataFrame) -> DataFrame:
     n = F.col("doc_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (n % 30).cast("int"))
     url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/p/"), n.cast("string"))
-    return spread(d, "doc_id").select(
+    return documents.select(
         F.col("source").alias("source_id"),
         n.cast("string").alias("external_id"),
         art.article_id(F.col("source"), n.cast("string")).alias("article_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termpulse.functions.dates import local_date, resolve_since
@@ -29,14 +29,18 @@ class Corpus:
     def at(cls, spark: SparkSession, path: str, as_of: dt.date | None = None) -> Corpus:
         return cls(*[spark.read.parquet(f"{path}/{name}") for name in TABLES], as_of=as_of)
 
-    def _range(self, day: Column, since: Since, until: Since) -> list[Column]:
-        low, high = resolve_since(since, self.as_of), resolve_since(until, self.as_of)
-        tests = []
+    def _days(self, since: Since, until: Since) -> tuple[dt.date | None, dt.date | None]:
+        return resolve_since(since, self.as_of), resolve_since(until, self.as_of)
+
+    def _on_days(self, df: DataFrame, since: Since, until: Since) -> DataFrame:
+        """Bound the ``date`` column in its own type, so that the scan can skip files by it."""
+        low, high = self._days(since, until)
+        text = dict(df.dtypes)["date"] == "string"
         if low is not None:
-            tests.append(day >= F.lit(low))
+            df = df.where(F.col("date") >= F.lit(low.isoformat() if text else low))
         if high is not None:
-            tests.append(day <= F.lit(high))
-        return tests
+            df = df.where(F.col("date") <= F.lit(high.isoformat() if text else high))
+        return df
 
     def articles(
         self,
@@ -48,32 +52,43 @@ class Corpus:
         kind: str | None = None,
     ) -> DataFrame:
         """Articles matching all given filters, newest first; dates are those of ``published_at``."""
-        tests = self._range(local_date(F.col("published_at")), since, until)
+        df = self._articles
+        low, high = self._days(since, until)
+        # ISO text sorts by day: the text bounds reach the scan, the exact test follows
+        if low is not None:
+            df = df.where(F.col("published_at") >= low.isoformat())
+        if high is not None:
+            df = df.where(F.col("published_at") < (high + dt.timedelta(days=1)).isoformat())
+        day = local_date(F.col("published_at"))
+        if low is not None:
+            df = df.where(day >= F.lit(low))
+        if high is not None:
+            df = df.where(day <= F.lit(high))
         if source is not None:
-            tests.append(F.col("source_id").isin([source] if isinstance(source, str) else list(source)))
+            df = df.where(F.col("source_id").isin([source] if isinstance(source, str) else list(source)))
         if author:
-            tests.append(F.col("author") == author)
+            df = df.where(F.col("author") == author)
         if kind:
-            tests.append(F.col("kind") == kind)
-        return _where(self._articles, tests).orderBy(F.desc_nulls_first("published_at"))
+            df = df.where(F.col("kind") == kind)
+        return df.orderBy(F.desc_nulls_first("published_at"))
 
     def terms(self, *, term: str | None = None, since: Since = None, until: Since = None) -> DataFrame:
         """Day terms, newest day and highest count first."""
-        tests = self._range(F.col("date"), since, until)
+        df = self._on_days(self._terms, since, until)
         if term:
-            tests.append(F.col("term") == term)
-        return _where(self._terms, tests).orderBy(F.desc("date"), F.desc("tf"), "term")
+            df = df.where(F.col("term") == term)
+        return df.orderBy(F.desc("date"), F.desc("tf"), "term")
 
     def elections(self, *, on: Since = None, since: Since = None) -> DataFrame:
         """Elected days, newest first; without arguments every day."""
-        tests = self._range(F.col("date"), since, None)
+        df = self._on_days(self._elections, since, None)
         if on is not None:
-            tests.append(F.col("date") == F.lit(resolve_since(on, self.as_of)))
-        return _where(self._elections, tests).orderBy(F.desc("date"))
+            df = self._on_days(df, on, on)
+        return df.orderBy(F.desc("date"))
 
     def trending(self, n: int = 10, since: Since = "7d") -> DataFrame:
         """The n terms with the highest total count; ``'7d'`` covers eight calendar days."""
-        rows = _where(self._terms, self._range(F.col("date"), since, None))
+        rows = self._on_days(self._terms, since, None)
         return (
             rows.groupBy("term")
             .agg(F.sum("tf").alias("total_tf"), F.sum("df").alias("total_df"), F.countDistinct("date").alias("days"))
@@ -82,12 +97,6 @@ class Corpus:
         )
 
 
-def _where(df: DataFrame, tests: list[Column]) -> DataFrame:
-    for test in tests:
-        df = df.where(test)
-    return df
-
-
 def register_views(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> list[str]:
     """Temp views for ad-hoc SQL over the tables that exist; ``names`` renames a table's view."""
     made = []

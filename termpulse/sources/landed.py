@@ -43,7 +43,7 @@ class Landed:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``source_id, content`` from files under ``source_id=<id>/``; one file is one row."""
-    return spark.read.option("wholetext", True).text(path).select("source_id", F.col("value").alias("content"))
+    return spark.read.text(path, wholetext=True).select("source_id", F.col("value").alias("content"))
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:

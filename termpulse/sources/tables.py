@@ -122,7 +122,7 @@ def cursors(spark: SparkSession, root: str) -> DataFrame:
 
 def processed_days(spark: SparkSession, root: str) -> DataFrame:
     """The latest log entry of each processed day."""
-    last = F.max(F.struct("processed_at", "document_count", "reprocessed")).alias("p")
+    last = F.max(F.struct("processed_at", "reprocessed", "document_count")).alias("p")
     return read(spark, root, "processed_days").groupBy("date").agg(last).select(
         "date", "p.processed_at", "p.document_count", "p.reprocessed"
     )

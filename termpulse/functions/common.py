@@ -20,6 +20,13 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
+def xml_text(text: Column) -> Column:
+    """Resolve the five references that plain XML has."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    return text
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 

@@ -74,10 +74,10 @@ def title(html: Column) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, unquoted and unescaped; NULL when the tag lacks it."""
+    """Value of an attribute, unquoted, with its references; NULL when the tag lacks it."""
     pattern = rf"""(?is)^<[a-z]+\b[^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
     raw = F.regexp_extract(tag, pattern, 1)
-    return F.when(raw != "", unescape(F.regexp_replace(raw, r"""^["']|["']$""", "")))
+    return F.when(raw != "", F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
 
 def hrefs(html: Column) -> Column:
@@ -115,5 +115,5 @@ def published(html: Column, as_of: Column) -> Column:
         found.append(blank_to_null(_attribute(F.get(times, F.lit(0)), "datetime")))
         return F.coalesce(*found)
 
-    text = let(metas, pick)
+    text = unescape(let(metas, pick))
     return F.when(text.isNotNull(), to_utc_iso(text, as_of))

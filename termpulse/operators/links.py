@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from termpulse import fixed_values as fixed
 from termpulse.functions import html as htm
 from termpulse.functions import urls
+from termpulse.functions.common import let
 from termpulse.operators.dedupe import drop_known, first_by_key, first_per
 from termpulse.session import stage
 
@@ -56,14 +57,11 @@ def issue_urls(archives: DataFrame, base: Column, html: Column, prefix: Column)
     Rows: the archive's columns, ``pos, url, canonical`` (the raw URL where there is no canonical).
     """
     keep = [c for c in archives.columns if c != "html"]
-    linked = _with_links(archives.select(*archives.columns, base.alias("__base"), prefix.alias("__prefix")), html, base)
+    at = archives.select(*archives.columns, urls.host(base).alias("__host"), prefix.alias("__prefix"))
+    linked = _with_links(at, html, base)
     own = F.filter(
         "links",
-        lambda x: (
-            (urls.host(x["href"]) == "")
-            | (urls.host(F.col("__base")) == "")
-            | (urls.host(x["href"]) == urls.host(F.col("__base")))
-        )
+        lambda x: let(urls.host(x["href"]), lambda h: (h == "") | (F.col("__host") == "") | (h == F.col("__host")))
         & urls.path(x["href"]).startswith(F.col("__prefix")),
     )
     kept = first_by_key(linked.select(*keep, own.alias("links")), "links")

@@ -14,6 +14,8 @@ def make_session(app: str = "termpulse", master: str | None = None, **conf) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # call sites of every column expression are costly to record in large plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     if master:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from termpulse import fixed_values as fixed
 from termpulse.functions import html as htm
 from termpulse.functions import urls
-from termpulse.functions.common import blank_to_null, strip
+from termpulse.functions.common import blank_to_null, strip, xml_text
 from termpulse.operators.cursors import cap_per_source, cut_at_cursor
 from termpulse.operators.dedupe import drop_known, first_per
 from termpulse.operators.links import issue_urls
@@ -37,7 +37,7 @@ def sitemap_urls(roots: DataFrame, sitemaps: DataFrame, depth: int = fixed.SITEM
             rows = maps.select("source_id", "prefix", "key", F.posexplode_outer(hits).alias("pos", "raw"))
             step = F.concat("key", F.array(F.lit(group).cast("bigint"), F.col("pos").cast("bigint")))
             return rows.where(F.col("pos").isNotNull()).select(
-                "source_id", "prefix", strip(htm.unescape(F.col("raw"))).alias("loc"), step.alias("key")
+                "source_id", "prefix", strip(xml_text(F.col("raw"))).alias("loc"), step.alias("key")
             )
 
         leaves = locs(_LEAF, 1).where(urls.path(F.col("loc")).startswith(F.col("prefix")))

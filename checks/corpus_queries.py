@@ -33,14 +33,14 @@ def article_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = daystats.day_terms(t.staged_counts(spark, sf_dir), t.days(spark, sf_dir))
+    counts = t.staged_counts(spark, sf_dir)
+    full = daystats.day_terms(counts, daystats.day_headers(counts))
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 
 def day_terms_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = daystats.day_terms(
-        t.staged_counts(spark, sf_dir), t.days(spark, sf_dir), max_terms=200, max_articles=5, max_authors=3
-    )
+    counts = t.staged_counts(spark, sf_dir)
+    full = daystats.day_terms(counts, daystats.day_headers(counts), max_terms=200, max_articles=5, max_authors=3)
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 
@@ -77,7 +77,7 @@ def elect_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def elections(spark: SparkSession, sf_dir: str, rerank: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Elections with candidates and evidence; the article lists are built for the candidates only."""
     counts = t.staged_counts(spark, sf_dir) if counts is None else counts
-    days = t.days(spark, sf_dir)
+    days = daystats.day_headers(counts)
     terms = daystats.article_terms(counts, "date", "article_id")
     totals = daystats.cap_terms(daystats.day_totals(terms, days))
     head = scoring.rank_candidates(scoring.score_terms(totals, days), fixed.RERANK_INPUT)

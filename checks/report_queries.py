@@ -86,7 +86,8 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three tables written and read back: rows and sums of each."""
     out = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
-    terms = daystats.day_terms(t.staged_counts(spark, sf_dir), t.days(spark, sf_dir))
+    counts = t.staged_counts(spark, sf_dir)
+    terms = daystats.day_terms(counts, daystats.day_headers(counts))
     elections = corpus.elections(spark, sf_dir).withColumn("llm", F.lit(None).cast(evidence._LLM))
     counts = export.export_all(_articles(spark, sf_dir), terms, elections, out)
     checks = (
@@ -128,7 +129,7 @@ def _ranked(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
 def rerank_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """External orders that name an unknown term, then the third and second candidate of each day."""
     counts = t.staged_counts(spark, sf_dir)
-    days = t.days(spark, sf_dir)
+    days = daystats.day_headers(counts)
     totals = daystats.cap_terms(daystats.day_totals(daystats.article_terms(counts, "date", "article_id"), days))
     ranked = scoring.rank_candidates(scoring.score_terms(totals, days), 3)
     named = ranked.groupBy("date").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("c"))
@@ -147,7 +148,8 @@ def rerank_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blurb_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = _articles(spark, sf_dir).select("article_id", "source_id", "title", "url", "snippet")
     texts = t.raw_items(spark, sf_dir).select("article_id", "content_text")
-    return evidence.blurb_prompts(corpus.elections(spark, sf_dir), articles, texts)
+    # read twice: for the evidence ids and for the words
+    return evidence.blurb_prompts(stage(corpus.elections(spark, sf_dir), "elections"), articles, texts)
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ def make_session(app: str = "termpulse", master: str | None = None, **conf) -> S
         # call sites of every column expression are costly to record in large plans
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # most (date, term) keys are rare, so a small first-level map in front only costs time
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -48,7 +50,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

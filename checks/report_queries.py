@@ -202,8 +202,9 @@ def attach_blurbs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day totals where the text of short posts is gone and their stored top terms stand in."""
-    items = t.raw_items(spark, sf_dir).select("date", "article_id", "kind", "content_text")
-    counted = txt.with_term_counts(items, F.col("content_text"), stopwords=t.stopwords())
+    kept = ("date", "article_id", "kind")
+    items = t.raw_items(spark, sf_dir)
+    counted = txt.with_term_counts(items, F.col("content_text"), keep=kept, stopwords=t.stopwords())
     stored = txt.top_terms(F.col("term_counts"))
     counts = daystats.text_or_stored_counts(F.col("kind") != "tweet", F.col("term_counts"), stored)
     rows = counted.select("date", "article_id", counts.alias("term_counts"))

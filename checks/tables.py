@@ -63,10 +63,8 @@ def as_raw_items(documents: DataFrame) -> DataFrame:
 def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``date, article_id, author, term_counts`` of every document."""
     return txt.with_term_counts(
-        raw_items(spark, sf_dir).select("date", "article_id", "author", "content_text"),
-        F.col("content_text"),
-        stopwords=stopwords(),
-    ).drop("content_text")
+        raw_items(spark, sf_dir), F.col("content_text"), keep=("date", "article_id", "author"), stopwords=stopwords()
+    )
 
 
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,19 +45,20 @@ def with_terms(
     text: Column,
     *,
     out: str = "grams",
+    keep: Iterable[str] | None = None,
     stopwords: Iterable[str] = fixed.STOPWORDS,
     allowlist: Iterable[str] = fixed.ALLOWLIST,
     max_n: int = fixed.MAX_N,
     min_token_len: int = fixed.MIN_TOKEN_LEN,
 ) -> DataFrame:
-    """Add the sorted bag of kept 1..max_n-grams as an array column.
+    """Add the sorted bag of kept 1..max_n-grams as an array column to the ``keep`` columns (or all).
 
     An allowlisted gram always stays. Any other gram goes when one of its tokens is
     shorter than ``min_token_len`` or when all of its tokens are stopwords.
     """
     # The lambdas are SQL text: building hundreds of literal columns one by one is slow.
     stop, allow = sorted(set(stopwords)), sorted(set(allowlist))
-    keep = df.columns
+    keep = df.columns if keep is None else list(keep)
     stopped = f"when t in ({_quoted(stop)}) then {STOP}" if stop else ""
     token_class = f"case when length(t) < {int(min_token_len)} then {SHORT} {stopped} else {WORD} end"
 
@@ -83,14 +84,18 @@ def with_terms(
     return windows.select(*keep, bag.alias(out))
 
 
-def with_term_counts(df: DataFrame, text: Column, *, out: str = "term_counts", **options) -> DataFrame:
+def with_term_counts(
+    df: DataFrame, text: Column, *, out: str = "term_counts", keep: Iterable[str] | None = None, **options
+) -> DataFrame:
     """Add ``array<struct<term, tf>>`` with the count of every kept term of the row.
 
+    Name the columns to ``keep`` so that a long text does not travel on.
+
     The bag is sorted, so equal terms are neighbours; a term's count is the distance
     between the ends of two runs. This keeps counting inside the row.
     """
-    keep = df.columns
-    bag = with_terms(df, text, out="__bag", **options)
+    keep = df.columns if keep is None else list(keep)
+    bag = with_terms(df, text, out="__bag", keep=keep, **options)
     b = F.col("__bag")
     numbered = bag.select(
         *keep,

@@ -23,7 +23,7 @@ def derive_articles(items: DataFrame, as_of: Column, fetched_at: Column, **term_
     base = items.withColumn("content_text", F.coalesce(body, F.lit(""))).withColumn(
         "__all", art.title_and_text(F.col("title"), body)
     )
-    counted = txt.with_term_counts(base, F.col("__all"), **term_options).drop("__all")
+    counted = txt.with_term_counts(base, F.col("__all"), keep=items.columns, **term_options)
     return counted.select(
         art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"),
         "source_id",

@@ -113,16 +113,15 @@ def day_stats(spark: SparkSession, root: str, days: list[dt.date], settings: Set
     """(terms, day headers) of the given days from articles and full texts."""
     articles = tables.read(spark, root, "articles").where(F.col("bucket_date").isin(days))
     texts = tables.read(spark, root, "fulltext").where(F.col("bucket_date").isin(days) & (F.col("content_text") != ""))
-    joined = articles.select("bucket_date", "article_id", "author", "title", "top_terms").join(
-        texts, ["bucket_date", "article_id"], "left"
-    )
-    joined = joined.withColumn("__all", F.when(F.col("content_text").isNotNull(), art.title_and_text(F.col("title"), F.col("content_text"))))
-    counted = txt.with_term_counts(joined.drop("content_text", "title"), F.col("__all"), **settings.term_options())
-    counts = daystats.text_or_stored_counts(F.col("__all").isNotNull(), F.col("term_counts"), F.col("top_terms"))
-    rows = stage(
-        counted.select(F.col("bucket_date").alias("date"), "article_id", F.nullif("author", F.lit("")).alias("author"), counts.alias("term_counts")),
-        "article-counts",
-    )
+    joined = articles.select(
+        F.col("bucket_date").alias("date"), "article_id", F.nullif("author", F.lit("")).alias("author"), "title", "top_terms"
+    ).join(texts.withColumnRenamed("bucket_date", "date"), ["date", "article_id"], "left")
+    joined = joined.withColumn("has_text", F.col("content_text").isNotNull())
+    whole = F.when(F.col("has_text"), art.title_and_text(F.col("title"), F.col("content_text")))
+    kept = ("date", "article_id", "author", "top_terms", "has_text")
+    counted = txt.with_term_counts(joined, whole, keep=kept, **settings.term_options())
+    counts = daystats.text_or_stored_counts(F.col("has_text"), F.col("term_counts"), F.col("top_terms"))
+    rows = stage(counted.select("date", "article_id", "author", counts.alias("term_counts")), "article-counts")
     headers = stage(daystats.day_headers(rows), "day-headers")
     return daystats.day_terms(rows, headers), headers
 

@@ -54,8 +54,14 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
     return df.select(*columns)
 
 
+def _by_day(df: DataFrame, name: str) -> DataFrame:
+    """Rows typed and grouped by day for writing: few files per day, and large days split."""
+    return _typed(df, name).hint("rebalance", F.col(PARTITION[name]))
+
+
 def append(df: DataFrame, root: str, name: str) -> None:
-    writer = _typed(df, name).write.mode("append").option("compression", "zstd")
+    rows = _by_day(df, name) if name in PARTITION else _typed(df, name)
+    writer = rows.write.mode("append").option("compression", "zstd")
     if name in PARTITION:
         writer = writer.partitionBy(PARTITION[name])
     writer.parquet(f"{root}/{name}")
@@ -64,7 +70,7 @@ def append(df: DataFrame, root: str, name: str) -> None:
 def overwrite_days(df: DataFrame, root: str, name: str) -> None:
     """Replace the partitions that ``df`` has rows for; other days stay."""
     (
-        _typed(df, name)
+        _by_day(df, name)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

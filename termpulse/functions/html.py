@@ -17,9 +17,10 @@ _TAG = r"""<[A-Za-z/!?](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
 def _entities(below: int) -> Column:
-    """Name to character, as SQL text, of the named references under a code point."""
-    pairs = [f"'{name}', '{chr(point)}'" for name, point in sorted(name2codepoint.items()) if point < below]
-    return F.expr(f"map({', '.join(pairs)}, 'apos', '\\'')")
+    """Name to character of the named references under a code point, as one literal."""
+    names = {name: chr(point) for name, point in sorted(name2codepoint.items()) if point < below}
+    pairs = "\x03".join(f"{name}\x04{char}" for name, char in {**names, "apos": "'"}.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x03"), F.lit("\x04"))
 
 
 def _code_point(number: Column) -> Column:

@@ -53,7 +53,10 @@ def score(allowlist: Iterable[str] = fixed.ALLOWLIST) -> Column:
     """The trending score over ``tf, df, document_count, avg_tf_baseline, ever_present, term``."""
     docs = F.greatest(F.col("document_count"), F.lit(1))
     trend = F.col("tf") / F.greatest(F.col("avg_tf_baseline"), F.lit(fixed.BASELINE_FLOOR))
-    raw = F.ln(1.0 + F.col("tf")) * trend * (0.5 + F.col("df") / docs)
+    # Spark's ln can be one digit off in its last place, which would break exact ties of scores;
+    # this logarithm rounds as the C library does
+    log = F.java_method(F.lit("java.lang.Math"), F.lit("log"), (1.0 + F.col("tf")).cast("double")).cast("double")
+    raw = log * trend * (0.5 + F.col("df") / docs)
     allow = sorted(set(allowlist))
     listed = F.col("term").isin(allow) if allow else F.lit(False)
     return (

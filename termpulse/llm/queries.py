@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termpulse.llm import exact, huffman, packing, secrets
+from termpulse.llm import exact, huffman, packing, secrets, simhash
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -47,11 +47,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_binary": op4_token_binary,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 SQL = {

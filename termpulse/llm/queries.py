@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termpulse.llm import exact, huffman, packing, secrets, simhash
+from termpulse.llm import decontaminate, exact, huffman, packing, secrets, simhash
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -47,6 +47,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,10 +61,28 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_token_binary": op4_token_binary,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _shingles(name: str, key: str) -> str:
+    """A table of the different five-word shingles of each text."""
+    return rf"""
+{name}_w AS (SELECT {key}, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM {name}),
+{name}_s AS (SELECT {key}, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM {name}_w)"""
+
+
 SQL = {
+    "op8_benchmark_decontamination": f"""
+WITH {_shingles('documents', 'doc_id')}, {_shingles('benchmark', 'item_id')},
+n AS (SELECT item_id, count(*) AS n_shingles FROM benchmark_s GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM documents_s JOIN benchmark_s USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
     "op6_exact_dedup": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
 g AS (SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS rn, count(*) OVER (PARTITION BY norm) AS group_size

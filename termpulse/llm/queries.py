@@ -9,10 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termpulse.llm import decontaminate, exact, huffman, packing, secrets, simhash
+from checks import page_sql
+from termpulse.llm import decontaminate, exact, huffman, packing, secrets, simhash, warc
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
+#: Date of the landed pages, which have none of their own.
+CRAWLED = "2024-01-30T06:00:00Z"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +59,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.responses(table(spark, sf_dir, "pages"), date=F.lit(CRAWLED), keep=["page_id"])
+    return warc.derive(records, keep=["page_id"]).drop("payload_digest")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_secret_scan": op3_secret_scan,
@@ -63,6 +71,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_warc_derivatives": op10_warc_derivatives,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,7 +86,38 @@ def _shingles(name: str, key: str) -> str:
   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM {name}_w)"""
 
 
+END = "chr(13) || chr(10)"
+
+
+def _record_id(*parts: str) -> str:
+    h = "md5(" + " || chr(10) || ".join(parts) + ")"
+    return f"'<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-3' || {h}[14:16] || '-a' || {h}[18:20] || '-' || {h}[21:32] || '>'"
+
+
+def _field(name: str, value: str) -> str:
+    return f"'{name}: ' || regexp_replace({value}, '[\\r\\n]+', ' ', 'g') || {END}"
+
+
 SQL = {
+    "op10_warc_derivatives": page_sql.with_(page_sql.SHOWN, page_sql.HREFS, f"""
+texts AS (SELECT page_id, {page_sql.stripped(page_sql.plain('title'))} AS title,
+  array_to_string(list_filter(list_transform(nodes, lambda n: {page_sql.stripped(page_sql.plain('n'))}), lambda n: n <> ''), chr(10)) AS text
+  FROM (SELECT page_id, regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1) AS title,
+    string_split(regexp_replace(html, '{page_sql.TAG}', chr(2), 'g'), chr(2)) AS nodes FROM shown)),
+outlinks AS (SELECT page_id, string_agg({_field('outlink', "href || ' L a/@href'")}, '' ORDER BY pos) AS outlinks FROM links GROUP BY page_id),
+r AS (SELECT page_id, url AS target_uri, {_record_id("'response'", "CAST(page_id AS VARCHAR)", "url")} AS refers_to,
+  'HTTP/1.1 200 OK' || {END} || 'Content-Type: text/html; charset=utf-8' || {END} || 'Content-Length: ' || strlen(html) || {END} AS http_header,
+  'sha256:' || sha256(html) AS source_payload_digest, html FROM pages),
+d AS (SELECT *, 'sha256:' || sha256(http_header || {END} || html) AS source_block_digest, {_record_id("'metadata'", "refers_to")} AS metadata_id,
+  {_record_id("'conversion'", "refers_to")} AS conversion_id FROM r JOIN texts USING (page_id) LEFT JOIN outlinks USING (page_id)),
+b AS (SELECT *, 'metadata' AS record_type, metadata_id AS record_id, 'application/warc-fields' AS content_type,
+  {_field('title', 'title')} || {_field('conversion', 'conversion_id')} || {_field('source-payload-digest', 'source_payload_digest')}
+  || {_field('source-block-digest', 'source_block_digest')} || 'source-header: HTTP/1.1 200 OK' || {END}
+  || 'source-header: Content-Type: text/html; charset=utf-8' || {END} || 'source-header: Content-Length: ' || strlen(html) || {END}
+  || coalesce(outlinks, '') AS block FROM d
+  UNION ALL SELECT *, 'conversion', conversion_id, 'text/plain; charset=utf-8', text FROM d)""") + f"""
+SELECT page_id, record_type, record_id, refers_to, target_uri, '{CRAWLED}' AS warc_date, content_type, http_header,
+  'sha256:' || sha256(block) AS block_digest, block, source_payload_digest, source_block_digest FROM b""",
     "op8_benchmark_decontamination": f"""
 WITH {_shingles('documents', 'doc_id')}, {_shingles('benchmark', 'item_id')},
 n AS (SELECT item_id, count(*) AS n_shingles FROM benchmark_s GROUP BY item_id),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import page_sql
-from termpulse.llm import decontaminate, exact, huffman, packing, secrets, simhash, warc
+from termpulse.llm import decontaminate, exact, huffman, packing, quality, secrets, simhash, warc
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -66,6 +70,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_binary": op4_token_binary,
     "op6_exact_dedup": op6_exact_dedup,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import page_sql
-from termpulse.llm import decontaminate, exact, huffman, packing, quality, secrets, simhash, warc
+from termpulse.llm import decontaminate, exact, huffman, packing, quality, secrets, simhash, substring, warc
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.decoded(spark, path, "doc_id long, start long, n_tokens long, ids_crc32 long", digest)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.cleaned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
@@ -73,6 +78,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_binary": op4_token_binary,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import page_sql
-from termpulse.llm import decontaminate, exact, huffman, packing, quality, secrets, simhash, substring, warc
+from termpulse.llm import decontaminate, exact, huffman, lm, packing, quality, secrets, simhash, substring, warc
 from termpulse.session import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,6 +59,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
+def op7_brown_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.scores(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op4_token_binary": op4_token_binary,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_brown_lm_scores": op7_brown_lm_scores,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc_derivatives": op10_warc_derivatives,

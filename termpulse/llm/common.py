@@ -26,6 +26,15 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written in buckets by ``key``: joins on it later read the table in place, without another shuffle of it."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    written = df.repartition(n, key).write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    written.bucketBy(n, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def remove(spark: SparkSession, *staged: DataFrame) -> None:
     """Delete staged tables that no later plan reads."""
     for df in staged:

@@ -91,7 +91,7 @@ def groups(docs: DataFrame, row: str | None = None) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. ``docs`` has doc_id and text, and any others."""
     row = common.free_name(docs, "row")
-    rows = common.stage(common.numbered(docs, row), "numbered")
+    rows = common.dealt(common.numbered(docs, row), row, "numbered")
     stay = groups(rows, row).filter("row = keep_row").select(F.col("row").alias(row))
     return rows.join(stay, row, "left_semi").drop(row)
 

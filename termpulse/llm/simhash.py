@@ -10,6 +10,11 @@ A bucket of more than ``CHUNK`` fingerprints is split into chunks that are compa
 that no task holds a whole large bucket; equal fingerprints count once from the start. A group yields a spanning
 forest of its links, not all of them.
 
+``deduplicate`` looks further, for texts whose five-word shingles have a resemblance of 0.8 or more: it compares the
+fingerprints within a wider radius and verifies a bucket's links on the shingles, each fingerprint against its nearest and
+along the bucket's forest. That radius is beyond what the buckets guarantee, so such pairs are found with a chance that
+falls with their distance.
+
 Null or blank text: fingerprint zero. Null doc_id: takes part, and names no component unless all of it is null. Repeated
 rows: each has its own row. Empty table: no rows.
 """
@@ -274,3 +279,46 @@ def groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, blocks: in
     marked = common.stage(fingerprints(docs, words, row), "fingerprints")
     different = common.stage(marked.select("fp").distinct(), "different-fingerprints")
     return grouped(marked, links(different, radius, blocks, equal))
+
+
+# ---- near-duplicates of a given resemblance
+
+#: Shingle words and resemblance that are verified; radius and blocks of the search for them.
+SHINGLE, SIMILAR, WIDE, WIDE_BLOCKS, WIDE_EQUAL = 5, 0.8, 11, 8, 2
+
+
+def resemblance(a: str, b: str, words: int = SHINGLE) -> float:
+    """Shared shingles of all shingles of two texts, each counted once."""
+    x, y = set(shingles(a, words)), set(shingles(b, words))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def similar(texts: DataFrame, marked: DataFrame, found: DataFrame, words: int = SHINGLE, least: float = SIMILAR) -> DataFrame:
+    """The links of ``found`` (staged) whose texts resemble each other. Of texts with one fingerprint the first row stands
+    for all; ``texts`` has row and text, dealt by row."""
+    ends = found.select(F.col("a").alias("fp")).union(found.select(F.col("b").alias("fp"))).distinct()
+    chosen = marked.groupBy("fp").agg(F.min("row").alias("row")).join(ends, "fp", "left_semi")
+    read = common.stage(texts.join(chosen, "row").select("fp", F.coalesce("text", F.lit("")).alias("text")), "linked-texts")
+    pairs = found.join(read.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a")
+    pairs = pairs.join(read.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [resemblance(x, y, words) >= least for x, y in zip(common.texts_of(batch, "x"), common.texts_of(batch, "y"))]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.mapInArrow(verify, "a long, b long")
+
+
+def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = WIDE, blocks: int = WIDE_BLOCKS, equal: int = WIDE_EQUAL, shingle: int = SHINGLE, least: float = SIMILAR) -> DataFrame:
+    """The rows of ``docs``, with all their columns: of each group of near-duplicates the one with the smallest doc_id."""
+    row = common.free_name(docs, "row")
+    rows = common.dealt(common.numbered(docs, row), row, "numbered")
+    texts = rows.select(F.col(row).alias("row"), "text")
+    marked = common.stage(fingerprints(rows, words, row), "fingerprints")
+    different = common.stage(marked.select("fp").distinct(), "different-fingerprints")
+    found = common.stage(links(different, radius, blocks, equal, nearest=True), "near-links")
+    members = grouped(marked, similar(texts, marked, found, shingle, least))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    stay = members.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.row").alias(row))
+    return rows.join(stay, row, "left_semi").drop(row)

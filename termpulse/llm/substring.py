@@ -22,7 +22,6 @@ each for itself, not against each other. Fewer words than a window: nothing remo
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from itertools import compress
 
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 
 from termpulse.llm import common
 from termpulse.llm.wordhash import Rolling, mixed, word_hashes
-from termpulse.session import shared_dir
 
 WINDOW = 50
 
@@ -69,14 +67,10 @@ def anchors(hashes: Rolling, n: int, window: int) -> tuple[np.ndarray, np.ndarra
 class Level:
     """Documents as written for all levels, and what of them is still a candidate."""
 
-    def __init__(self, docs: DataFrame, window: int, row: str | None):
-        self.window, self.spark = window, docs.sparkSession
+    def __init__(self, docs: DataFrame, row: str | None):
         number = F.col(row) if row else F.monotonically_increasing_id()
         rows = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        n, name = int(self.spark.conf.get("spark.sql.shuffle.partitions")), f"texts_{uuid.uuid4().hex}"
-        path = f"{shared_dir(self.spark)}/{name}"
-        rows.repartition(n, "row").write.option("compression", "zstd").option("path", path).bucketBy(n, "row").sortBy("row").saveAsTable(name)
-        self.texts = self.spark.table(name)
+        self.texts = common.dealt(rows, "row", "texts")
 
     def each(self, rows: DataFrame, schema: str, found: Callable, columns: tuple[str, ...]) -> DataFrame:
         """``row, doc_id`` and the arrays that ``found(text, *lists)`` gives for each row of ``rows``, which has the text
@@ -116,7 +110,7 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
 
 def removals(docs: DataFrame, window: int = WINDOW, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The written texts (row, doc_id, text) and ``row, lo, hi``: the first and last of windows in a row to be removed."""
-    level = Level(docs, window, row)
+    level = Level(docs, row)
     short, half, reach = -(-window // 4), -(-window // 2), window - -(-window // 4)
     base = "row long, doc_id long, q long, lo long, hi long, h long"
 

@@ -146,12 +146,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The columns of ``RECORD`` and ``whole``: whether the block has the length that its header states."""
     parts = spark.read.option("lineSep", VERSION + END).text(path).filter(F.length(F.trim("value")) > 0)
     head = F.concat(F.substring_index("value", END + END, 1), F.lit(END))
-    rest = F.expr(f"substring(value, length(substring_index(value, '{END}{END}', 1)) + 5)")
+    rest = F.expr(f"substring(value, length(substring_index(value, '\\r\\n\\r\\n', 1)) + 5)")
     cut = parts.select(head.alias("head"), F.regexp_replace(rest, r"\r\n\r\n\z", "").alias("all"))
-    get = lambda name: F.nullif(F.regexp_extract("head", rf"(?m)^{name}: ([^\r]*)\r$", 1), F.lit(""))
+    get = lambda name: F.nullif(F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)$", 1), F.lit(""))
     is_response = get("WARC-Type") == "response"
     http = F.concat(F.substring_index("all", END + END, 1), F.lit(END))
-    body = F.expr(f"substring(all, length(substring_index(all, '{END}{END}', 1)) + 5)")
+    body = F.expr(f"substring(all, length(substring_index(all, '\\r\\n\\r\\n', 1)) + 5)")
     return cut.select(
         get("WARC-Type").alias("record_type"),
         get("WARC-Record-ID").alias("record_id"),

@@ -218,7 +218,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, by_word: bool
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids`` of a folder: ``start`` counts the ids before the document, ``ids`` is array<long>."""
-    return decoded(spark, path, "doc_id long, start long, ids array<long>", lambda ids: ids)
+    return decoded(spark, path, "doc_id long, start long, ids array<long>", lambda ids: ids.astype(np.int64))
 
 
 def decoded(spark: SparkSession, path: str, schema: str, finish) -> DataFrame:

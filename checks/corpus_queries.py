@@ -44,6 +44,13 @@ def day_terms_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 
+def day_terms_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All terms of every day with all of their articles and authors."""
+    counts = t.staged_counts(spark, sf_dir)
+    full = daystats.day_terms(counts, daystats.day_headers(counts), max_terms=None, max_articles=None, max_authors=None)
+    return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
+
+
 def day_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.days(spark, sf_dir)
 
@@ -116,6 +123,11 @@ def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.raw_items(spark, sf_dir).select("source_id", "external_id", "article_id")
 
 
+def article_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shown id, and the key that tables and joins use."""
+    return t.raw_items(spark, sf_dir).select("source_id", "external_id", "article_id", "article_key")
+
+
 def snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.raw_items(spark, sf_dir).select("article_id", art.snippet(F.col("content_text")).alias("snippet"))
 
@@ -155,8 +167,8 @@ def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tokenize_counts, ngram_terms, article_top_terms, day_terms, day_terms_capped, day_headers, day_articles,
-        baseline_window, term_scores, elect_daily, elect_candidates, event_type_trend, article_ids, snippets,
+        tokenize_counts, ngram_terms, article_top_terms, day_terms, day_terms_capped, day_terms_uncapped, day_headers, day_articles,
+        baseline_window, term_scores, elect_daily, elect_candidates, event_type_trend, article_ids, article_keys, snippets,
         bucket_dates, derivatives, conversation_posts,
     )
 }

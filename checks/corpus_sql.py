@@ -18,6 +18,7 @@ DOCS = """
 docs AS (
   SELECT doc_id, source AS source_id, CAST(doc_id AS VARCHAR) AS external_id,
          source || '--' || substr(sha256(source || chr(0) || CAST(doc_id AS VARCHAR)), 1, 8) AS article_id,
+         source || '--' || sha256(source || chr(0) || CAST(doc_id AS VARCHAR)) AS article_key,
          CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS DATE) AS date,
          'https://' || source || '.example.com/p/' || CAST(doc_id AS VARCHAR) AS url,
          CASE WHEN doc_id % 10 <> 0 THEN 'author-' || CAST(doc_id % 50 AS VARCHAR) END AS author,
@@ -46,7 +47,7 @@ occ AS (
   WHERE good OR term IN ({ALLOW}) GROUP BY article_id, date, author, term)"""
 
 DAYS = """
-days AS (SELECT date, COUNT(DISTINCT article_id) AS document_count FROM docs GROUP BY date)"""
+days AS (SELECT date, COUNT(DISTINCT article_key) AS document_count FROM docs GROUP BY date)"""
 
 
 def totals(cap: int = fixed.MAX_TERMS_PER_DAY) -> str:
@@ -153,17 +154,19 @@ evid AS (
   round(r.avg_tf_baseline, 4) AS avg_tf_baseline, i.article_ids AS articles, e.evidence_article_ids
 FROM ranked r JOIN ids i ON r.date = i.date AND r.term = i.term JOIN evid e ON e.date = r.date WHERE r.rank <= 10""",
     "event_type_trend": with_("""
-docs AS (SELECT CAST(ts AS DATE) AS date, event_type AS term, CAST(user_id AS VARCHAR) AS article_id FROM events)""", DAYS, """
+docs AS (SELECT CAST(ts AS DATE) AS date, event_type AS term, CAST(user_id AS VARCHAR) AS article_id, CAST(user_id AS VARCHAR) AS article_key FROM events)""", DAYS, """
 occ AS (SELECT date, article_id, term, COUNT(*) AS tf FROM docs GROUP BY date, article_id, term)""", totals(10**9), baseline(10), SCORED)
     + " SELECT date, term, tf, df, round(score, 4) AS score FROM scored",
     "article_ids": with_(DOCS) + " SELECT source_id, external_id, article_id FROM docs",
+    "article_keys": with_(DOCS) + " SELECT source_id, external_id, article_id, article_key FROM docs",
+    "day_terms_uncapped": _day_terms(10**12, 10**12, 10**12),
     "snippets": with_(DOCS) + f" SELECT article_id, {snippet('text')} AS snippet FROM docs",
     "bucket_dates": with_(DOCS) + f" SELECT article_id, {BUCKET} AS bucket_date FROM docs",
     "derivatives": with_(DOCS, TOKENS, TOP)
     + f""" SELECT d.article_id, source_id, CAST(NULL AS VARCHAR) AS via_source_id, kind, url, url AS url_canonical, '' AS title, d.author,
   published_at, '{t.FETCHED_AT}' AS fetched_at, sha256(text) AS content_sha256, length(text) AS content_chars,
   CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, length(text) // 4) END AS content_tokens,
-  {snippet('text')} AS snippet, COALESCE(p.top_terms, '') AS top_terms, {BUCKET} AS bucket_date
+  {snippet('text')} AS snippet, COALESCE(p.top_terms, '') AS top_terms, {BUCKET} AS bucket_date, d.article_key
 FROM docs d LEFT JOIN tops p ON d.article_id = p.article_id""",
     "conversation_posts": f"""
 SELECT role || '--' || substr(sha256(role || chr(0) || ext), 1, 8) AS article_id, ext AS external_id, sha256(text) AS content_sha256,

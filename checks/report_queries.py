@@ -202,12 +202,12 @@ def attach_blurbs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day totals where the text of short posts is gone and their stored top terms stand in."""
-    kept = ("date", "article_id", "kind")
+    kept = ("date", "article_id", "article_key", "kind")
     items = t.raw_items(spark, sf_dir)
     counted = txt.with_term_counts(items, F.col("content_text"), keep=kept, stopwords=t.stopwords())
     stored = txt.top_terms(F.col("term_counts"))
     counts = daystats.text_or_stored_counts(F.col("kind") != "tweet", F.col("term_counts"), stored)
-    rows = counted.select("date", "article_id", counts.alias("term_counts"))
+    rows = counted.select("date", "article_id", "article_key", counts.alias("term_counts"))
     terms = daystats.article_terms(rows, "date")
     return daystats.day_totals(terms, daystats.day_headers(rows)).select("date", "term", "tf", "df")
 
@@ -222,7 +222,7 @@ def latest_elected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def migrate_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles filed under the fetch day move to their own day, unless a copy is there already."""
-    items = t.raw_items(spark, sf_dir).select("article_id", "published_at", "kind", F.lit(t.FETCHED_AT).alias("fetched_at"))
+    items = t.raw_items(spark, sf_dir).select("article_id", "article_key", "published_at", "kind", F.lit(t.FETCHED_AT).alias("fetched_at"))
     filed = items.withColumn("bucket_date", t.as_of_date())
     copies = items.where(F.col("kind") == "tweet").withColumn("bucket_date", art.bucket_date(F.col("published_at"), t.as_of_date()))
     both = filed.unionByName(copies.where(F.col("bucket_date") != t.as_of_date()))
@@ -232,7 +232,7 @@ def migrate_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _filled(spark: SparkSession, sf_dir: str) -> str:
     """A table folder with all documents ingested as articles and full texts."""
     root = f"{shared_dir(spark)}/root-{uuid.uuid4().hex}"
-    items = t.raw_items(spark, sf_dir).drop("article_id")
+    items = t.raw_items(spark, sf_dir).drop("article_id", "article_key")
     tables.append(_articles(spark, sf_dir), root, "articles")
     from termpulse.operators.derive import full_texts
 
@@ -264,7 +264,7 @@ def stream_daily_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = t.table(spark, sf_dir, "documents").schema
     docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents*.parquet")
-    items = t.as_raw_items(docs).drop("article_id", "date").withColumn("item_ord", F.array(F.col("external_id").cast("bigint")))
+    items = t.as_raw_items(docs).drop("article_id", "article_key", "date").withColumn("item_ord", F.array(F.col("external_id").cast("bigint")))
     daily.start(items, root, _settings(), f"{root}/checkpoint", available_now=True).awaitTermination()
     return tables.read(spark, root, "terms").select("date", "term", "tf", "df", F.array_join("article_ids", ",").alias("article_ids"))
 

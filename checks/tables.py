@@ -45,6 +45,7 @@ def as_raw_items(documents: DataFrame) -> DataFrame:
         F.col("source").alias("source_id"),
         n.cast("string").alias("external_id"),
         art.article_id(F.col("source"), n.cast("string")).alias("article_id"),
+        art.article_key(F.col("source"), n.cast("string")).alias("article_key"),
         day.alias("date"),
         url.alias("url"),
         url.alias("url_canonical"),
@@ -61,14 +62,14 @@ def as_raw_items(documents: DataFrame) -> DataFrame:
 
 
 def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``date, article_id, author, term_counts`` of every document."""
+    """``date, article_id, article_key, author, term_counts`` of every document."""
     return txt.with_term_counts(
-        raw_items(spark, sf_dir), F.col("content_text"), keep=("date", "article_id", "author"), stopwords=stopwords()
+        raw_items(spark, sf_dir), F.col("content_text"), keep=("date", "article_id", "article_key", "author"), stopwords=stopwords()
     )
 
 
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daystats.day_headers(raw_items(spark, sf_dir).select("date", "article_id"))
+    return daystats.day_headers(raw_items(spark, sf_dir).select("date", "article_key"))
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:

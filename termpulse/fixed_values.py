@@ -15,18 +15,21 @@ ALLOWLIST = (
     "transformer", "vibe coding", "vision-language",
 )
 
-# A general English list of our own; load a fuller one with load_word_list.
+# Words that are no terms by themselves.
 STOPWORDS = tuple(
     """
-    a about above after again against all also am an and any are as at be because been
-    before being below between both but by can cannot could did do does doing don down
-    during each even ever every few for from further get had has have having he her here
-    hers him himself his how i if in into is it its itself just ll may me might more most
-    must my myself new no nor not now of off on once one only or other our ours out over
-    own per re s said same say says shall she should since so some such t than that the
-    their theirs them themselves then there these they this those through to too two under
-    until up upon us use used using ve very was we well were what when where which while
-    who whom why will with within without would you your yours yourself ai obj
+    a about above after again against all am an and any are aren as at be because been before being below
+    between both but by can cannot could couldn day did didn do does doesn doing don down during each few for
+    from further get got had hadn has hasn have haven having he her here hers herself him himself his how i if
+    in into is isn it its itself just like ll may me might more most mustn my myself need no nor not now of
+    off on once one only or other our ours ourselves out over own re s same say says shan she should shouldn
+    so some such t than that the their theirs them themselves then there these they this those through to too
+    under until up use used using ve very want was wasn we well were weren what when where which while who
+    whom why will with won would wouldn y you your yours yourself yourselves also however thus therefore
+    really even much many new old also going go come came take took make made see seen look looked find found
+    think thought know knew time year years month months week weeks today yesterday tomorrow via per read
+    reads post posts article articles newsletter tweet tweets ai artificial intelligence obj endobj endstream
+    xref trailer startxref rdf pdf
     """.split()
 )
 

@@ -10,10 +10,16 @@ from termpulse.functions.common import SPACE, let
 from termpulse.functions.dates import local_date
 
 
-def article_id(source_id: Column, external_id: Column, hex_digits: int = 8) -> Column:
-    """Source id and a short hash; raise ``hex_digits`` for sources with very many items."""
+def article_id(source_id: Column, external_id: Column) -> Column:
+    """Source id and eight digits of the hash."""
     digest = F.sha2(F.concat(source_id, F.lit("\x00"), external_id), 256)
-    return F.concat(source_id, F.lit("--"), F.substring(digest, 1, hex_digits))
+    return F.concat(source_id, F.lit("--"), F.substring(digest, 1, 8))
+
+
+def article_key(source_id: Column, external_id: Column) -> Column:
+    """Source id and the whole hash: what tables and joins know an article by. ``article_id`` is shown, but two articles
+    of a large source may share it."""
+    return F.concat(source_id, F.lit("--"), F.sha2(F.concat(source_id, F.lit("\x00"), external_id), 256))
 
 
 def content_hash(text: Column) -> Column:

@@ -33,9 +33,12 @@ def unescape(text: Column) -> Column:
     """Resolve character references once, from left to right."""
 
     def piece(p: Column) -> Column:
-        name = F.regexp_extract(p, r"^(#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*)", 1)
-        hexed = F.conv(F.substring(name, 3, 8), 16, 10).try_cast("bigint")
-        plain = F.substring(name, 2, 8).try_cast("bigint")
+        name = F.regexp_extract(p, r"^(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*)", 1)
+        # any number of zeros in front; what is too large is no character
+        hexed = F.regexp_extract(name, r"^#[xX]0*([0-9A-Fa-f]*)$", 1)
+        hexed = F.when(F.length(hexed) <= 8, F.conv(F.concat(F.lit("0"), hexed), 16, 10).try_cast("bigint")).otherwise(1 << 40)
+        plain = F.regexp_extract(name, r"^#0*([0-9]*)$", 1)
+        plain = F.when(F.length(plain) <= 10, F.concat(F.lit("0"), plain).try_cast("bigint")).otherwise(1 << 40)
         value = (
             F.when(name.rlike("^#[xX]"), _code_point(hexed))
             .when(name.startswith("#"), _code_point(plain))
@@ -43,7 +46,7 @@ def unescape(text: Column) -> Column:
             # without a semicolon only the old Latin-1 names count
             .otherwise(F.try_element_at(_entities(0x100), name))
         )
-        rest = F.regexp_replace(p, r"^(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);?", "")
+        rest = F.regexp_replace(p, r"^(?:#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?", "")
         return F.when((name == "") | value.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(value, rest))
 
     def whole(t: Column) -> Column:

@@ -118,10 +118,10 @@ def with_term_counts(
     return ends.select(*keep, F.coalesce(whole, F.array().cast("array<struct<term:string,tf:bigint>>")).alias(out))
 
 
-def top_terms(counts: Column, n: int = fixed.TOP_TERMS_PER_ARTICLE) -> Column:
-    """The n most frequent terms of a counts array, by (-tf, term)."""
+def top_terms(counts: Column, n: int | None = fixed.TOP_TERMS_PER_ARTICLE) -> Column:
+    """The n most frequent terms of a counts array, by (-tf, term); all of them for None."""
     keyed = F.transform(counts, lambda c: F.struct((-c["tf"]).alias("neg"), c["term"].alias("term")))
     return F.transform(
-        F.slice(F.sort_array(keyed), 1, n),
+        F.sort_array(keyed) if n is None else F.slice(F.sort_array(keyed), 1, n),
         lambda k: F.struct(k["term"].alias("term"), (-k["neg"]).alias("tf")),
     )

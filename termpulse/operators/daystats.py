@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from termpulse import fixed_values as fixed
 from termpulse.session import stage
 
-# Terms kept per run that are still sent to every task; about 16 MB of keys.
-BROADCAST_TERMS = 250_000
 # Sub-groups per day in the first step of a top-k, so one large day is cut by many tasks.
 DAY_SPLITS = 64
 
@@ -27,8 +25,12 @@ def text_or_stored_counts(has_text: Column, from_text: Column, stored: Column) -
 
 
 def day_headers(articles: DataFrame) -> DataFrame:
-    """``date, document_count`` for every day that has an article, with or without terms."""
-    return articles.groupBy("date").agg(F.countDistinct("article_id").alias("document_count"))
+    """``date, document_count`` for every day that has an article, with or without terms.
+
+    Articles count by ``article_key``, or by ``article_id`` in a frame that has no other name for them.
+    """
+    key = "article_key" if "article_key" in articles.columns else "article_id"
+    return articles.groupBy("date").agg(F.countDistinct(key).alias("document_count"))
 
 
 def day_articles(articles: DataFrame) -> DataFrame:
@@ -51,11 +53,13 @@ def day_totals(terms: DataFrame, days: DataFrame) -> DataFrame:
     return _with_day_size(totals, days).where((F.col("document_count") < 2) | (F.col("df") >= 2))
 
 
-def cap_terms(totals: DataFrame, max_terms: int = fixed.MAX_TERMS_PER_DAY) -> DataFrame:
-    """The ``max_terms`` most frequent terms of each day, by (-tf, term).
+def cap_terms(totals: DataFrame, max_terms: int | None = fixed.MAX_TERMS_PER_DAY) -> DataFrame:
+    """The ``max_terms`` most frequent terms of each day, by (-tf, term); all of them for None.
 
     Each day is first cut in sub-groups; the last step sees a bounded number of rows.
     """
+    if max_terms is None:
+        return totals
     order = [F.desc("tf"), F.asc("term")]
     split = F.pmod(F.xxhash64("term"), F.lit(DAY_SPLITS))
     part = W.partitionBy("date", "__split").orderBy(*order)
@@ -70,13 +74,15 @@ def cap_terms(totals: DataFrame, max_terms: int = fixed.MAX_TERMS_PER_DAY) -> Da
     )
 
 
-def term_articles(terms: DataFrame, max_articles: int = fixed.MAX_ARTICLES_PER_TERM) -> DataFrame:
-    """The ``max_articles`` smallest article ids of each (date, term), sorted.
+def term_articles(terms: DataFrame, max_articles: int | None = fixed.MAX_ARTICLES_PER_TERM) -> DataFrame:
+    """The ``max_articles`` smallest article ids of each (date, term), sorted; all of them for None.
 
     Ranked before collecting, and the rank limit also runs before the shuffle, so a term
     found in every article sends at most ``max_articles`` rows per task.
     """
     first = W.partitionBy("date", "term").orderBy("article_id")
+    if max_articles is None:
+        return terms.groupBy("date", "term").agg(F.sort_array(F.collect_list("article_id")).alias("article_ids"))
     return (
         terms.select("date", "term", "article_id")
         .withColumn("__rank", F.row_number().over(first))
@@ -86,44 +92,32 @@ def term_articles(terms: DataFrame, max_articles: int = fixed.MAX_ARTICLES_PER_T
     )
 
 
-def term_authors(terms: DataFrame, max_authors: int = fixed.MAX_AUTHORS_PER_TERM) -> DataFrame:
-    """Up to ``max_authors`` distinct authors of each (date, term), first in article order, sorted."""
+def term_authors(terms: DataFrame, max_authors: int | None = fixed.MAX_AUTHORS_PER_TERM) -> DataFrame:
+    """Up to ``max_authors`` distinct authors of each (date, term), first in article order, sorted; all for None."""
     first = W.partitionBy("date", "term").orderBy("__first", "author")
+    named = terms.where(F.coalesce(F.col("author"), F.lit("")) != "").groupBy("date", "term", "author").agg(F.min("article_id").alias("__first"))
+    if max_authors is None:
+        return named.groupBy("date", "term").agg(F.sort_array(F.collect_list("author")).alias("authors"))
     return (
-        terms.where(F.coalesce(F.col("author"), F.lit("")) != "")
-        .groupBy("date", "term", "author")
-        .agg(F.min("article_id").alias("__first"))
-        .withColumn("__rank", F.row_number().over(first))
+        named.withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") <= max_authors)
         .groupBy("date", "term")
         .agg(F.sort_array(F.collect_list("author")).alias("authors"))
     )
 
 
-def only_terms(terms: DataFrame, wanted: DataFrame, row_bound: int | None = None) -> DataFrame:
-    """Rows whose (date, term) is in ``wanted``; sent to every task only under a known bound."""
-    keys = wanted.select("date", "term")
-    if row_bound is not None and row_bound <= BROADCAST_TERMS:
-        keys = F.broadcast(keys)
-    return terms.join(keys, ["date", "term"], "left_semi")
-
-
 def with_lists(
     wanted: DataFrame,
     terms: DataFrame,
     *,
-    row_bound: int | None = None,
-    max_articles: int = fixed.MAX_ARTICLES_PER_TERM,
-    max_authors: int = fixed.MAX_AUTHORS_PER_TERM,
+    max_articles: int | None = fixed.MAX_ARTICLES_PER_TERM,
+    max_authors: int | None = fixed.MAX_AUTHORS_PER_TERM,
 ) -> DataFrame:
-    """Attach ``article_ids`` and ``authors`` to the wanted (date, term) rows.
+    """Attach ``article_ids`` and ``authors`` to the wanted (date, term) rows (a table or staged).
 
-    Under the broadcast bound the occurrences of other terms are dropped where they are
-    read. Above it the rank limits run first, and both lists and ``wanted`` meet on
-    (date, term).
+    Occurrences of other terms are dropped first; how the two sides meet is left to the optimizer, which knows their sizes.
     """
-    if row_bound is not None and row_bound <= BROADCAST_TERMS:
-        terms = only_terms(terms, wanted, row_bound)
+    terms = terms.join(wanted.select("date", "term"), ["date", "term"], "left_semi")
     none = F.array().cast("array<string>")
     return (
         wanted.join(term_articles(terms, max_articles), ["date", "term"], "left")
@@ -137,18 +131,17 @@ def day_terms(
     counts: DataFrame,
     days: DataFrame,
     *,
-    max_terms: int = fixed.MAX_TERMS_PER_DAY,
-    max_articles: int = fixed.MAX_ARTICLES_PER_TERM,
-    max_authors: int = fixed.MAX_AUTHORS_PER_TERM,
+    max_terms: int | None = fixed.MAX_TERMS_PER_DAY,
+    max_articles: int | None = fixed.MAX_ARTICLES_PER_TERM,
+    max_authors: int | None = fixed.MAX_AUTHORS_PER_TERM,
 ) -> DataFrame:
-    """The full rollup ``date, term, tf, df, article_ids, authors``.
+    """The full rollup ``date, term, tf, df, article_ids, authors``; a cap of None keeps everything.
 
     ``counts`` holds ``date, article_id, author, term_counts`` per article; it is read three
-    times, so pass a table or a staged frame. The kept terms are staged too: they are few, and
-    their counted number decides whether they may be broadcast.
+    times, so pass a table or a staged frame. The kept terms are staged too.
     """
     terms = article_terms(counts, "date", "article_id", "author")
     kept = stage(cap_terms(day_totals(terms, days), max_terms).drop("document_count"), "kept-terms")
-    return with_lists(
-        kept, terms, row_bound=kept.count(), max_articles=max_articles, max_authors=max_authors
-    ).select("date", "term", "tf", "df", "article_ids", "authors")
+    return with_lists(kept, terms, max_articles=max_articles, max_authors=max_authors).select(
+        "date", "term", "tf", "df", "article_ids", "authors"
+    )

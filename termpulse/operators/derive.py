@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termpulse import fixed_values as fixed
 from termpulse.functions import article as art
 from termpulse.functions import text as txt
 
 ARTICLE_COLUMNS = (
     "article_id", "source_id", "via_source_id", "kind", "url", "url_canonical", "title", "author", "published_at",
-    "fetched_at", "content_sha256", "content_chars", "content_tokens", "snippet", "top_terms", "bucket_date",
+    "fetched_at", "content_sha256", "content_chars", "content_tokens", "snippet", "top_terms", "bucket_date", "article_key",
 )
 
 
-def derive_articles(items: DataFrame, as_of: Column, fetched_at: Column, **term_options) -> DataFrame:
+def derive_articles(
+    items: DataFrame, as_of: Column, fetched_at: Column, n_top: int | None = fixed.TOP_TERMS_PER_ARTICLE, **term_options
+) -> DataFrame:
     """One derivative per raw item, plus its full ``term_counts``; narrow, no shuffle.
 
     Full text is not among the columns; ``full_texts`` gives it for the separate table.
@@ -39,16 +42,18 @@ def derive_articles(items: DataFrame, as_of: Column, fetched_at: Column, **term_
         art.content_chars(body).alias("content_chars"),
         art.estimate_tokens(body).alias("content_tokens"),
         art.snippet(body).alias("snippet"),
-        txt.top_terms(F.col("term_counts")).alias("top_terms"),
+        txt.top_terms(F.col("term_counts"), n_top).alias("top_terms"),
         art.bucket_date(F.col("published_at"), as_of).alias("bucket_date"),
+        art.article_key(F.col("source_id"), F.col("external_id")).alias("article_key"),
         "term_counts",
     )
 
 
 def full_texts(items: DataFrame, as_of: Column) -> DataFrame:
-    """``article_id, content_text, bucket_date`` for the unpublished full-text table."""
+    """``article_id, article_key, content_text, bucket_date`` for the unpublished full-text table."""
     return items.select(
         art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"),
+        art.article_key(F.col("source_id"), F.col("external_id")).alias("article_key"),
         F.coalesce("content_text", F.lit("")).alias("content_text"),
         art.bucket_date(F.col("published_at"), as_of).alias("bucket_date"),
     )

@@ -20,7 +20,8 @@ from termpulse.plans import presentation
 from termpulse.session import stage
 from termpulse.sources import tables
 from termpulse.sources.export import export_all
-from termpulse.sources.landed import Landed
+from termpulse.sources.feeds import parse_feeds
+from termpulse.sources.landed import Landed, newest_pages
 from termpulse.sources.registry import raw_items, unknown_sources
 
 
@@ -30,6 +31,14 @@ class Settings:
     now: str
     baseline_days: int = fixed.BASELINE_DAYS
     links_per_issue: int = fixed.LINKS_PER_ISSUE
+    # None keeps everything
+    max_terms: int | None = fixed.MAX_TERMS_PER_DAY
+    max_articles: int | None = fixed.MAX_ARTICLES_PER_TERM
+    max_authors: int | None = fixed.MAX_AUTHORS_PER_TERM
+    top_terms: int | None = fixed.TOP_TERMS_PER_ARTICLE
+    rerank_input: int = fixed.RERANK_INPUT
+    candidates_kept: int = fixed.CANDIDATES_KEPT
+    evidence_kept: int = fixed.EVIDENCE_KEPT
     blocked_hosts: tuple = fixed.BLOCKED_HOSTS
     stopwords: tuple = fixed.STOPWORDS
     allowlist: tuple = fixed.ALLOWLIST
@@ -49,7 +58,7 @@ def ingest(spark: SparkSession, root: str, landed: Landed, settings: Settings) -
     items = stage(raw_items(landed, settings.adapters), "raw-items")
     issues = items.select("item_ord", "source_id", "source_type", "url", "url_canonical", "published_at", "content_html")
     letters = issues.where(F.col("source_type") == "newsletter")
-    pages = landed.pages.where((F.col("status") == 200) & (F.coalesce("html", F.lit("")) != "")).select("url", "html")
+    pages = newest_pages(landed.pages).where((F.col("status") == 200) & (F.coalesce("html", F.lit("")) != "")).select("url", "html")
     # keep the HTML of the item; look an issue's page up again only where it is missing
     bodies = letters.join(pages.select("url", F.col("html").alias("__page")), "url", "left").select(
         "item_ord", "url_canonical", F.coalesce(F.nullif("content_html", F.lit("")), "__page", F.lit("")).alias("html")
@@ -72,10 +81,10 @@ def ingest(spark: SparkSession, root: str, landed: Landed, settings: Settings) -
     main = items.join(live.select("item_ord"), "item_ord", "left_semi")
     followed = linked_items(placed, links, issues, fetched)
     new = stage(main.drop("content_html").unionByName(followed), "new-items")
-    derived = derive_articles(new, as_of, F.lit(settings.now), **settings.term_options()).drop("term_counts")
-    derived = stage(derived.dropDuplicates(["bucket_date", "article_id"]), "derived")
+    derived = derive_articles(new, as_of, F.lit(settings.now), settings.top_terms, **settings.term_options()).drop("term_counts")
+    derived = stage(derived.dropDuplicates(["bucket_date", "article_key"]), "derived")
     tables.upsert_articles(derived, root)
-    tables.upsert_articles(full_texts(new, as_of).dropDuplicates(["bucket_date", "article_id"]), root, "fulltext")
+    tables.upsert_articles(full_texts(new, as_of).dropDuplicates(["bucket_date", "article_key"]), root, "fulltext")
     seen = new.select("url_canonical", art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"))
     tables.append(seen.withColumn("first_seen_date", as_of), root, "url_cache")
     tables.append(
@@ -84,6 +93,9 @@ def ingest(spark: SparkSession, root: str, landed: Landed, settings: Settings) -
         "url_cache",
     )
     tables.append(next_cursors(items, settings.now), root, "cursors")
+    _, unread = parse_feeds(landed.feeds)
+    unread = unread.select("source_id", F.lit("no entries, or no well-formed XML").alias("reason"), F.lit(settings.now).alias("run_at"))
+    tables.append(unread, root, "rejects")
     rejects = unknown_sources(landed, settings.adapters)
     tables.append(
         rejects.select("source_id", F.lit("unknown source type").alias("reason"), F.lit(settings.now).alias("run_at")),
@@ -114,16 +126,19 @@ def day_stats(spark: SparkSession, root: str, days: list[dt.date], settings: Set
     articles = tables.read(spark, root, "articles").where(F.col("bucket_date").isin(days))
     texts = tables.read(spark, root, "fulltext").where(F.col("bucket_date").isin(days) & (F.col("content_text") != ""))
     joined = articles.select(
-        F.col("bucket_date").alias("date"), "article_id", F.nullif("author", F.lit("")).alias("author"), "title", "top_terms"
-    ).join(texts.withColumnRenamed("bucket_date", "date"), ["date", "article_id"], "left")
+        F.col("bucket_date").alias("date"), "article_id", "article_key", F.nullif("author", F.lit("")).alias("author"), "title", "top_terms"
+    ).join(texts.select(F.col("bucket_date").alias("date"), "article_key", "content_text"), ["date", "article_key"], "left")
     joined = joined.withColumn("has_text", F.col("content_text").isNotNull())
     whole = F.when(F.col("has_text"), art.title_and_text(F.col("title"), F.col("content_text")))
-    kept = ("date", "article_id", "author", "top_terms", "has_text")
+    kept = ("date", "article_id", "article_key", "author", "top_terms", "has_text")
     counted = txt.with_term_counts(joined, whole, keep=kept, **settings.term_options())
     counts = daystats.text_or_stored_counts(F.col("has_text"), F.col("term_counts"), F.col("top_terms"))
-    rows = stage(counted.select("date", "article_id", "author", counts.alias("term_counts")), "article-counts")
+    rows = stage(counted.select("date", "article_id", "article_key", "author", counts.alias("term_counts")), "article-counts")
     headers = stage(daystats.day_headers(rows), "day-headers")
-    return daystats.day_terms(rows, headers), headers
+    terms = daystats.day_terms(
+        rows, headers, max_terms=settings.max_terms, max_articles=settings.max_articles, max_authors=settings.max_authors
+    )
+    return terms, headers
 
 
 def process(spark: SparkSession, root: str, settings: Settings, days=None, backfill: bool = False) -> list[dt.date]:
@@ -140,6 +155,7 @@ def process(spark: SparkSession, root: str, settings: Settings, days=None, backf
         tables.drop_days(spark, root, "terms", [r.date for r in termless.collect()])
         tables.overwrite_days(terms, root, "terms")
         tables.overwrite_days(headers, root, "days")
+        tables.append(terms.groupBy("term").agg(F.min("date").alias("first_seen")), root, "term_first_seen")
         log = headers.withColumn("processed_at", F.lit(settings.now)).withColumn("reprocessed", F.lit(False))
         tables.append(log, root, "processed_days")
     return built
@@ -158,11 +174,19 @@ def elect_days(
     scored = scoring.score_terms(
         terms.select("date", "term", "tf", "df"), headers, allowlist=settings.allowlist, baseline_days=settings.baseline_days
     ).where(F.col("date").isin(targets))
-    head = scoring.rank_candidates(scored, fixed.RERANK_INPUT)
-    # at most RERANK_INPUT rows per calendar day
+    head = scoring.rank_candidates(scored, max(settings.rerank_input, settings.candidates_kept))
+    # at most that many rows per calendar day
     lists = terms.where(F.col("date").isin(targets)).select("date", "term", "article_ids")
     head = lists.join(F.broadcast(head), ["date", "term"])
-    result = stage(scoring.elect(head, headers.where(F.col("date").isin(targets)), rerank), "elections")
+    result = scoring.elect(
+        head,
+        headers.where(F.col("date").isin(targets)),
+        rerank,
+        candidates_kept=settings.candidates_kept,
+        rerank_input=settings.rerank_input,
+        evidence_kept=settings.evidence_kept,
+    )
+    result = stage(result, "elections")
     done = [r.date for r in result.select("date").orderBy("date").collect()]
     if done:
         tables.overwrite_days(result, root, "elections")
@@ -201,10 +225,10 @@ def rebucketed(articles: DataFrame, as_of) -> DataFrame:
     target = F.coalesce(art.rebucket_date(F.col("published_at"), F.col("fetched_at"), as_of), F.col("bucket_date"))
     aimed = articles.withColumn("__to", target)
     movers = aimed.where(F.col("__to") != F.col("bucket_date"))
-    here = articles.select("article_id", F.col("bucket_date").alias("__to"))
-    free = movers.select("article_id", "bucket_date", "__to").join(here, ["article_id", "__to"], "left_anti")
-    moves = free.groupBy("article_id", "__to").agg(F.min("bucket_date").alias("bucket_date"))
-    return articles.join(moves, ["article_id", "bucket_date"], "left").withColumn(
+    here = articles.select("article_key", F.col("bucket_date").alias("__to"))
+    free = movers.select("article_key", "bucket_date", "__to").join(here, ["article_key", "__to"], "left_anti")
+    moves = free.groupBy("article_key", "__to").agg(F.min("bucket_date").alias("bucket_date"))
+    return articles.join(moves, ["article_key", "bucket_date"], "left").withColumn(
         "bucket_date", F.coalesce("__to", "bucket_date")
     ).select(*articles.columns)
 
@@ -214,7 +238,7 @@ def migrate_buckets(spark: SparkSession, root: str, settings: Settings) -> int:
     old = tables.read(spark, root, "articles")
     keyed = old.withColumn("__old", F.col("bucket_date"))
     new = stage(rebucketed(keyed, F.lit(settings.as_of)), "rebucketed")
-    moves = new.where(F.col("bucket_date") != F.col("__old")).select("article_id", F.col("__old").alias("old"), F.col("bucket_date").alias("new"))
+    moves = new.where(F.col("bucket_date") != F.col("__old")).select("article_key", F.col("__old").alias("old"), F.col("bucket_date").alias("new"))
     moves = stage(moves, "moves")
     moved = moves.count()
     if not moved:
@@ -222,8 +246,8 @@ def migrate_buckets(spark: SparkSession, root: str, settings: Settings) -> int:
     # calendar days only
     touched = [r.d for r in moves.select(F.explode(F.array("old", "new")).alias("d")).distinct().collect()]
     texts = tables.read(spark, root, "fulltext").where(F.col("bucket_date").isin(touched))
-    shift = moves.select("article_id", F.col("old").alias("bucket_date"), F.col("new").alias("__new"))
-    texts = texts.join(shift, ["article_id", "bucket_date"], "left").withColumn("bucket_date", F.coalesce("__new", "bucket_date"))
+    shift = moves.select("article_key", F.col("old").alias("bucket_date"), F.col("new").alias("__new"))
+    texts = texts.join(shift, ["article_key", "bucket_date"], "left").withColumn("bucket_date", F.coalesce("__new", "bucket_date"))
     for df, name in ((new.where(F.col("bucket_date").isin(touched)), "articles"), (texts, "fulltext")):
         rows = stage(df.drop("__old", "__new"), name)
         tables.overwrite_days(rows, root, name)

@@ -13,7 +13,7 @@ from termpulse.operators.cursors import cap_per_source, cut_at_cursor
 from termpulse.operators.dedupe import drop_known, first_per
 from termpulse.operators.links import issue_urls
 from termpulse.sources.feeds import _as_items, _first
-from termpulse.sources.landed import Landed, readable_pages
+from termpulse.sources.landed import Landed, newest_pages, readable_pages
 
 _LOC = r".*?<loc\b[^>]*>\s*(?:<!\[CDATA\[)?([^<\]]*)"
 _CHILD = r"(?is)<sitemap\b[^>]*>" + _LOC
@@ -64,7 +64,7 @@ def archive_issue_urls(landed: Landed) -> DataFrame:
     # one row per catalog source
     scraped_sources = sources.join(mapped.select("source_id").distinct(), "source_id", "left_anti")
     archives = scraped_sources.join(
-        landed.pages.where(F.col("status") == 200).select(F.col("url").alias("page"), "html"), "page"
+        newest_pages(landed.pages).where(F.col("status") == 200).select(F.col("url").alias("page"), "html"), "page"
     )
     scraped = issue_urls(archives, F.col("page"), F.col("html"), F.col("prefix")).select(
         "source_id", F.array(F.col("pos").cast("bigint")).alias("item_ord"), "url", F.col("canonical").alias("url_canonical")

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Entries of a list that becomes part of a column expression; longer ones are tables (``load_block_list``).
 MAX_LIST_ENTRIES = 100_000
 
 SOURCE_SCHEMA = (
@@ -25,6 +26,12 @@ def load_word_list(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(sorted(r.w for r in rows))
 
 
+def load_block_list(spark: SparkSession, path: str) -> DataFrame:
+    """``host`` of a text file, one per line, without blank and # lines; of any length, for ``dedupe.drop_blocked``."""
+    lines = spark.read.text(path).where(~F.col("value").startswith("#")).select(F.lower(F.trim("value")).alias("host"))
+    return lines.where(F.col("host") != "").distinct()
+
+
 def parse_sources(document: dict | None) -> list[dict]:
     document = document or {}
     if document.get("version") != 1:

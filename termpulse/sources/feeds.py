@@ -12,7 +12,7 @@ from termpulse.functions.common import blank_to_null, strip
 from termpulse.functions.dates import to_utc_iso
 from termpulse.operators.cursors import cap_per_source, cut_at_cursor
 from termpulse.operators.dedupe import drop_known
-from termpulse.sources.landed import ITEM_COLUMNS, Landed, readable_pages
+from termpulse.sources.landed import ITEM_COLUMNS, Landed, file_order, readable_pages
 
 _ITEM = (
     "struct<guid:string,link:string,title:string,author:string,`dc:creator`:string,pubDate:string,`dc:date`:string,"
@@ -57,22 +57,22 @@ def _atom_entry(e: Column) -> Column:
 
 
 def parse_feeds(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(entries in feed order, feeds that hold none or are no well-formed XML).
+    """(entries in feed order, newest file first; feeds that hold none or are no well-formed XML).
 
     Entries: ``source_id, item_ord, guid, link, title, author, date, body, summary``.
     """
-    parsed = feeds.select("source_id", "content", F.from_xml("content", _FEED, {"mode": "PERMISSIVE"}).alias("f"))
+    parsed = feeds.select("source_id", "content", file_order(feeds).alias("place"), F.from_xml("content", _FEED, {"mode": "PERMISSIVE"}).alias("f"))
     none = F.array().cast("array<struct<guid:string,link:string,title:string,author:string,date:string,body:string,summary:string>>")
     entries = F.concat(
         F.coalesce(F.transform("f.channel.item", _rss_entry), none),
         F.coalesce(F.transform("f.item", _rss_entry), none),
         F.coalesce(F.transform("f.entry", _atom_entry), none),
     )
-    listed = parsed.select("source_id", "content", entries.alias("entries"))
+    listed = parsed.select("source_id", "content", "place", entries.alias("entries"))
     rows = (
-        listed.select("source_id", F.posexplode_outer("entries").alias("pos", "e"))
+        listed.select("source_id", "place", F.posexplode_outer("entries").alias("pos", "e"))
         .where(F.col("pos").isNotNull())
-        .select("source_id", F.array(F.col("pos").cast("bigint")).alias("item_ord"), "e.*")
+        .select("source_id", F.concat("place", F.array(F.col("pos").cast("bigint"))).alias("item_ord"), "e.*")
     )
     return rows, listed.where(F.size("entries") == 0).select("source_id", "content")
 
@@ -84,7 +84,7 @@ def rss_items(landed: Landed, *types: str) -> DataFrame:
     page's text, else the text inlined in the feed.
     """
     sources = landed.of_type(*(types or ("rss",))).where(F.coalesce("feed", F.lit("")) != "")
-    entries, _ = parse_feeds(landed.feeds)
+    entries, _ = parse_feeds(landed.feeds.join(sources.select("source_id"), "source_id", "left_semi"))
     named = entries.join(
         sources.select(
             "source_id", "source_type", "source_ord", F.col("author").alias("__author"), F.col("name").alias("__name")
@@ -117,7 +117,7 @@ def tweet_feed_items(landed: Landed) -> DataFrame:
     sources = landed.of_type("twitter").where(
         ~F.col("x_api") & ((F.coalesce("nitter_feed", F.lit("")) != "") | (F.coalesce("handle", F.lit("")) != ""))
     )
-    entries, _ = parse_feeds(landed.feeds)
+    entries, _ = parse_feeds(landed.feeds.join(sources.select("source_id"), "source_id", "left_semi"))
     named = entries.join(
         sources.select("source_id", "source_type", "source_ord", "handle", "name", "exclude_replies"), "source_id"
     )

@@ -22,22 +22,25 @@ _ELECTION = (
 )
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+JSON_FILES = "*.json"
+
+
+def _read(spark: SparkSession, path: str, schema: str, pattern: str) -> DataFrame:
     reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", "*.json").json(path)
+    return reader.option("pathGlobFilter", pattern).json(path)
 
 
-def read_articles(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+def read_articles(spark: SparkSession, path: str, day: str | None = None, pattern: str = JSON_FILES) -> DataFrame:
     """Article files under ``path/<YYYY-MM-DD>/``; the folder is the bucket date."""
-    raw = _read(spark, path if day is None else f"{path}/{day}", _ARTICLE)
+    raw = _read(spark, path if day is None else f"{path}/{day}", _ARTICLE, pattern)
     bucket = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1).try_cast("date")
     pairs = F.transform("top_terms", lambda p: F.struct(F.get(p, F.lit(0)).alias("term"), F.get(p, F.lit(1)).try_cast("bigint").alias("tf")))
     return raw.withColumn("bucket_date", bucket).where(F.col("bucket_date").isNotNull()).withColumn("top_terms", pairs)
 
 
-def read_stats(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_stats(spark: SparkSession, path: str, pattern: str = JSON_FILES) -> tuple[DataFrame, DataFrame]:
     """(terms, days) tables from day-stats files."""
-    raw = _read(spark, path, _STATS).withColumn("date", F.col("date").try_cast("date")).where(F.col("date").isNotNull())
+    raw = _read(spark, path, _STATS, pattern).withColumn("date", F.col("date").try_cast("date")).where(F.col("date").isNotNull())
     terms = raw.select("date", F.explode("terms").alias("term", "s")).select(
         "date",
         "term",
@@ -49,5 +52,5 @@ def read_stats(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return terms, raw.select("date", "document_count")
 
 
-def read_elections(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, _ELECTION).withColumn("date", F.col("date").try_cast("date"))
+def read_elections(spark: SparkSession, path: str, pattern: str = JSON_FILES) -> DataFrame:
+    return _read(spark, path, _ELECTION, pattern).withColumn("date", F.col("date").try_cast("date"))

@@ -20,8 +20,9 @@ ITEM_COLUMNS = (
 class Landed:
     """Everything a source adapter may read.
 
-    ``feeds`` and ``api``: ``source_id, content``. ``sitemaps``: ``loc, content``. ``pages``: ``url,
-    status, content_type, html``. ``sources`` is the catalog, at most a bounded number of rows.
+    ``feeds`` and ``api``: ``source_id, content`` and, where known, ``file`` and ``landed_at``; a source may have many.
+    ``sitemaps``: ``loc, content``. ``pages``: ``url, status, content_type, html`` and, where known, ``landed_at``; of
+    several rows of a URL the newest counts. ``sources`` is the catalog, at most a bounded number of rows.
     """
 
     sources: DataFrame
@@ -35,17 +36,39 @@ class Landed:
     max_items: int = fixed.MAX_ITEMS_PER_SOURCE
 
     def of_type(self, *types: str) -> DataFrame:
-        return F.broadcast(self.sources.where(F.col("source_type").isin(*types)))
+        return self.sources.where(F.col("source_type").isin(*types))
 
     def now(self) -> Column:
         return F.lit(self.as_of)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``source_id, content`` from files under ``source_id=<id>/``; one file is one row."""
-    return spark.read.text(path, wholetext=True).select("source_id", F.col("value").alias("content"))
+    """``source_id, content, file, landed_at`` from files under ``source_id=<id>/``; one file is one row."""
+    return spark.read.text(path, wholetext=True).select(
+        "source_id",
+        F.col("value").alias("content"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+    )
+
+
+def file_order(files: DataFrame) -> Column:
+    """The place of a file among those of its source, newest first: an array to which the place in the file is added.
+
+    Files of one time stand by a hash of their name, or of their content where they have no name.
+    """
+    time = -F.unix_micros("landed_at") if "landed_at" in files.columns else F.lit(0)
+    name = F.col("file") if "file" in files.columns else F.col("content")
+    return F.array(time.cast("bigint"), F.xxhash64(name))
+
+
+def newest_pages(pages: DataFrame) -> DataFrame:
+    """One row for a URL: the page that landed last."""
+    others = [c for c in pages.columns if c != "url"]
+    order = F.struct(*(["landed_at"] if "landed_at" in others else []), (F.col("status") == 200).alias("read"), F.xxhash64("html").alias("h"))
+    return pages.groupBy("url").agg(F.max_by(F.struct(*others), order).alias("__p")).select("url", "__p.*")
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:
     """Fetched pages that are text: status 200 and an HTML, XML or text content type."""
-    return pages.where((F.col("status") == 200) & urls.has_content_type_text(F.col("content_type"))).select("url", "html")
+    return newest_pages(pages).where((F.col("status") == 200) & urls.has_content_type_text(F.col("content_type"))).select("url", "html")

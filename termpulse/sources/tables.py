@@ -12,9 +12,9 @@ SCHEMAS = {
         "article_id string, source_id string, via_source_id string, kind string, url string, url_canonical string, "
         "title string, author string, published_at string, fetched_at string, content_sha256 string, "
         "content_chars bigint, content_tokens bigint, snippet string, top_terms array<struct<term:string,tf:bigint>>, "
-        "bucket_date date"
+        "article_key string, bucket_date date"
     ),
-    "fulltext": "article_id string, content_text string, bucket_date date",
+    "fulltext": "article_id string, article_key string, content_text string, bucket_date date",
     "terms": "term string, tf bigint, df bigint, article_ids array<string>, authors array<string>, date date",
     "days": "document_count bigint, date date",
     "elections": (
@@ -92,11 +92,11 @@ def days_of(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def upsert_articles(new: DataFrame, root: str, name: str = "articles") -> None:
-    """Add rows by (bucket date, article id); a row that is there is replaced.
+    """Add rows by (bucket date, article key); a row that is there is replaced.
 
     Usually nothing collides and this is a plain append. Only days with a collision are rewritten.
     """
-    spark, keys = new.sparkSession, ["bucket_date", "article_id"]
+    spark, keys = new.sparkSession, ["bucket_date", "article_key"]
     old = read(spark, root, name)
     touched = old.join(new.select(*keys), keys, "left_semi").select("bucket_date").distinct()
     if touched.isEmpty():
@@ -132,3 +132,8 @@ def processed_days(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, "processed_days").groupBy("date").agg(last).select(
         "date", "p.processed_at", "p.document_count", "p.reprocessed"
     )
+
+
+def term_first_seen(spark: SparkSession, root: str) -> DataFrame:
+    """The first day of each term, from the log that every processing adds to."""
+    return read(spark, root, "term_first_seen").groupBy("term").agg(F.min("first_seen").alias("first_seen"))

@@ -24,9 +24,9 @@ def write_batch(batch: DataFrame, root: str, settings: Settings) -> None:
     items = stage(first_per(batch, ["url_canonical"], "item_ord"), "batch")
     new = stage(drop_known(items, tables.read(spark, root, "url_cache")), "batch-new")
     if not new.isEmpty():
-        derived = derive_articles(new, as_of, F.lit(settings.now), **settings.term_options()).drop("term_counts")
-        tables.upsert_articles(stage(derived.dropDuplicates(["bucket_date", "article_id"]), "derived"), root)
-        tables.upsert_articles(full_texts(new, as_of).dropDuplicates(["bucket_date", "article_id"]), root, "fulltext")
+        derived = derive_articles(new, as_of, F.lit(settings.now), settings.top_terms, **settings.term_options()).drop("term_counts")
+        tables.upsert_articles(stage(derived.dropDuplicates(["bucket_date", "article_key"]), "derived"), root)
+        tables.upsert_articles(full_texts(new, as_of).dropDuplicates(["bucket_date", "article_key"]), root, "fulltext")
         seen = new.select("url_canonical", art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"))
         tables.append(seen.withColumn("first_seen_date", as_of), root, "url_cache")
     # calendar days only

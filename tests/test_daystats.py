@@ -49,7 +49,7 @@ def test_day_without_terms_has_a_header(spark):
 
 
 def test_both_list_strategies_agree(spark):
-    """The joined lists are the same whether the wanted terms are broadcast or not."""
+    """The lists hold what the rows of each term say, in their order."""
     rng = random.Random(5)
     rows = [
         (f"2026-04-{10 + rng.randrange(3)}", f"a{i:03d}", rng.choice(["x", "y", None, ""]), {f"t{rng.randrange(6)}": rng.randrange(1, 4) for _ in range(4)})
@@ -58,17 +58,18 @@ def test_both_list_strategies_agree(spark):
     counts = counts_frame(spark, rows)
     terms = daystats.article_terms(counts, "date", "article_id", "author")
     kept = daystats.day_totals(terms, daystats.day_headers(counts))
-    by_bound = [
-        sorted(map(tuple, daystats.with_lists(kept, terms, row_bound=b, max_articles=3, max_authors=2).collect()))
-        for b in (10, None)
-    ]
-    assert by_bound[0] == by_bound[1]
+    listed = {(str(r.date), r.term): r for r in daystats.with_lists(kept, terms, max_articles=3, max_authors=2).collect()}
+    whole = {(str(r.date), r.term): r for r in daystats.with_lists(kept, terms, max_articles=None, max_authors=None).collect()}
+    for key, r in whole.items():
+        ids = sorted(a for d, a, _, ts in rows if (d, key[1]) == key and key[1] in ts)
+        assert r.article_ids == ids and listed[key].article_ids == ids[:3]
+        assert r.authors == sorted({w for d, _, w, ts in rows if (d, key[1]) == key and key[1] in ts and w})
     expect = defaultdict(lambda: [0, 0])
     for d, _, _, ts in rows:
         for t, n in ts.items():
             expect[(d, t)][0] += n
             expect[(d, t)][1] += 1
-    assert {(str(r[0]), r[1]): [r[2], r[3]] for r in by_bound[0]} == {k: v for k, v in expect.items() if v[1] >= 2}
+    assert {(str(r[0]), r[1]): [r[2], r[3]] for r in whole.values()} == {k: v for k, v in expect.items() if v[1] >= 2}
 
 
 def test_stored_terms_stand_in_for_missing_text(spark):

@@ -188,7 +188,7 @@ def test_ingest(spark, tmp_path):
     assert "https://t12.ai/a" not in cache
     cursors = {r.source_id: r.last_guid for r in tables.cursors(spark, root).collect()}
     assert cursors["blog"] == "g3" and cursors["news"] == "tag:1"
-    assert [r.source_id for r in tables.read(spark, root, "rejects").collect()] == ["odd"]
+    assert sorted(r.source_id for r in tables.read(spark, root, "rejects").collect()) == ["broken", "odd"]
     assert tables.read(spark, root, "fulltext").count() == articles.count() == 24
     again = ingest_once(spark, root)
     assert again["new_articles"] == 0
@@ -237,3 +237,21 @@ def test_serial_model_of_links():
     """The model used to check the link budget skips an item taken as a link, with its links."""
     live, placed, _ = serve_one_by_one([(0, "i0"), (1, "u")], {0: ["u"], 1: ["v"]}, {"u", "v"}, {}, 2)
     assert live == {0} and placed == {("u", 0, 0)}
+
+
+def test_articles_that_share_a_short_id_are_all_kept(spark, tmp_path):
+    root = str(tmp_path / "data")
+    rows = [("blog", g, "2026-04-13T12:00:00+00:00", f"agents number {g} agents") for g in ("14233", "53489", "1")]
+    fill(spark, root, rows)
+    fill(spark, root, rows[:2])
+    articles = tables.read(spark, root, "articles").collect()
+    assert len(articles) == 3 and len({r.article_id for r in articles}) == 2 and len({r.article_key for r in articles}) == 3
+    assert tables.read(spark, root, "fulltext").count() == 3
+    assert tables.read(spark, root, "days").first().document_count == 3
+    assert {r.term: r.tf for r in tables.read(spark, root, "terms").collect()}["agents"] == 6
+
+
+def test_feeds_that_cannot_be_read_are_logged(spark, tmp_path):
+    jobs.ingest(spark, str(tmp_path), landed_of(spark), SETTINGS)
+    logged = {(r.source_id, r.reason[:10]) for r in tables.read(spark, str(tmp_path), "rejects").collect()}
+    assert ("broken", "no entries") in logged and ("odd", "unknown so") in logged

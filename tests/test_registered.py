@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(registry.oracle_sql()) == set(registry.queries()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries()) <= set(entry.queries())
 
 
 def test_flagship(spark):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from termpulse.operators.cursors import cut_at_cursor
 from termpulse.sources import catalog, feeds, registry
 from termpulse.sources.archive import sitemap_urls
 from termpulse.sources.landed import Landed, read_documents
@@ -185,3 +186,41 @@ def test_landed_files(spark, tmp_path):
     (folder / "feed.xml").write_text(RSS)
     (row,) = read_documents(spark, str(tmp_path)).collect()
     assert (row.source_id, row.content) == ("blog", RSS)
+
+
+def feed_of(*guids):
+    items = "".join(f"<item><guid>{g}</guid><link>https://blog.ai/{g}</link><title>{g}</title></item>" for g in guids)
+    return f"<rss><channel>{items}</channel></rss>"
+
+
+def test_several_files_of_a_source_have_one_order(spark):
+    import datetime as dt
+
+    old, new = dt.datetime(2026, 4, 13), dt.datetime(2026, 4, 14)
+    files = spark.createDataFrame(
+        [("blog", feed_of("g3", "g4"), "b.xml", old), ("blog", feed_of("g1", "g2"), "a.xml", new), ("blog", feed_of("g5"), "c.xml", old)],
+        "source_id string, content string, file string, landed_at timestamp",
+    )
+    rows, _ = feeds.parse_feeds(files)
+    places = sorted((r.item_ord, r.guid) for r in rows.collect())
+    assert [g for _, g in places[:2]] == ["g1", "g2"] and len({tuple(p) for p, _ in places}) == 5
+    cursors = spark.createDataFrame([("blog", "g2")], "source_id string, last_guid string")
+    assert [r.external_id for r in cut_at_cursor(rows.withColumnRenamed("guid", "external_id"), cursors).collect()] == ["g1"]
+
+
+def test_a_page_that_landed_twice_counts_once(spark, items):
+    landed = landed_of(spark)
+    twice = registry.raw_items(landed_of(spark, pages=landed.pages.union(landed.pages))).collect()
+    assert {s: sum(r.source_id == s for r in twice) for s in items} == {s: len(rows) for s, rows in items.items()}
+
+
+def test_tweets_of_a_source_share_one_limit(spark):
+    reply = lambda *ids: json.dumps({"data": [{"id": i, "text": f"t{i}", "public_metrics": {"like_count": 50}} for i in ids]})
+    api = spark.createDataFrame([("api", reply("90", "91")), ("api", reply("92", "93"))], "source_id string, content string")
+    rows = [r for r in registry.raw_items(landed_of(spark, api=api, max_items=3)).collect() if r.source_id == "api"]
+    assert len(rows) == 3
+
+
+def test_block_lists_may_be_long(spark, tmp_path):
+    (tmp_path / "hosts.txt").write_text("# note\n" + "\n".join(f"H{k}.example" for k in range(100_100)) + "\nh1.example\n")
+    assert catalog.load_block_list(spark, str(tmp_path / "hosts.txt")).count() == 100_100

@@ -30,8 +30,8 @@ def terms_of(spark, texts, **options):
 
 
 def test_tokens_keep_hyphens_and_apostrophes(column):
-    got = column(txt.tokens, ["Open-source models and it's MCP time.", "", None, "naïve 3d x1-"])
-    assert got[0] == ["open-source", "models", "and", "it's", "mcp", "time"]
+    got = column(txt.tokens, ["Well-known tools, don't they Run?", "", None, "naïve 3d x1-"])
+    assert got[0] == ["well-known", "tools", "don't", "they", "run"]
     assert got[1] == [] and got[2] == []
     assert got[3] == ["na", "ve", "d", "x1"]
 
@@ -42,8 +42,8 @@ def test_ngrams(column):
 
 def test_terms_follow_the_rules(spark):
     texts = [
-        "The context window of MCP and the o1 model",
-        "n n q q w w obj endobj endstream n n",
+        "A context window is wide and the MCP of o1 is small",
+        "k k j j obj endobj xref k k",
         "x x x the the",
         "",
         None,
@@ -52,7 +52,9 @@ def test_terms_follow_the_rules(spark):
     assert got == [dict(expected_terms(t, STOP, ALLOW)) for t in texts]
     assert "the" not in got[0] and got[0]["context window"] == 1
     assert got[2] == {"x": 3}
-    assert not any(t.startswith(("n ", "q ")) for t in got[1])
+    assert not any(t.startswith(("k ", "j ")) for t in got[1])
+    leftovers = terms_of(spark, ["k k j j obj endobj endstream xref trailer startxref k k"])[0]
+    assert not any(t in leftovers for t in ("k", "k k", "j j", "obj", "endobj", "endstream", "xref"))
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

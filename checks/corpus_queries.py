@@ -10,6 +10,7 @@ from termpulse import fixed_values as fixed
 from termpulse.functions import article as art
 from termpulse.functions import text as txt
 from termpulse.operators import daystats, scoring
+from termpulse.session import stage
 
 
 def _list(name: str):
@@ -60,12 +61,14 @@ def day_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def baseline_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    based = scoring.with_baseline(t.totals(spark, sf_dir), t.days(spark, sf_dir), 7)
+    days = stage(t.days(spark, sf_dir), "day-headers")
+    based = scoring.with_baseline(t.totals(spark, sf_dir, days), days, 7)
     return based.select("date", "term", F.round("avg_tf_baseline", 4).alias("avg_tf_baseline"), "ever_present")
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.score_terms(t.totals(spark, sf_dir), t.days(spark, sf_dir))
+def _scored(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    days = stage(t.days(spark, sf_dir), "day-headers") if days is None else days
+    return scoring.score_terms(t.totals(spark, sf_dir, days), days)
 
 
 def term_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +77,9 @@ def term_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def elect_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leading term of every day."""
-    top = scoring.rank_candidates(_scored(spark, sf_dir), 1)
-    days = t.days(spark, sf_dir).select("date")
-    return days.join(top, "date", "left").select(
+    days = stage(t.days(spark, sf_dir), "day-headers")
+    top = scoring.rank_candidates(_scored(spark, sf_dir, days), 1)
+    return days.select("date").join(top, "date", "left").select(
         "date", F.col("term").alias("word"), "tf", "df", F.coalesce(F.round("score", 6), F.lit(0.0)).alias("score")
     )
 
@@ -84,7 +87,7 @@ def elect_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def elections(spark: SparkSession, sf_dir: str, rerank: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Elections with candidates and evidence; the article lists are built for the candidates only."""
     counts = t.staged_counts(spark, sf_dir) if counts is None else counts
-    days = daystats.day_headers(counts)
+    days = stage(daystats.day_headers(counts), "day-headers")
     terms = daystats.article_terms(counts, "date", "article_id")
     totals = daystats.cap_terms(daystats.day_totals(terms, days))
     head = scoring.rank_candidates(scoring.score_terms(totals, days), fixed.RERANK_INPUT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import corpus_queries as corpus
@@ -84,20 +84,22 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three tables written and read back: rows and sums of each."""
+    """The rows of all three tables, written and read back, with the count that the export reports."""
     out = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
     counts = t.staged_counts(spark, sf_dir)
     terms = daystats.day_terms(counts, daystats.day_headers(counts))
     elections = corpus.elections(spark, sf_dir).withColumn("llm", F.lit(None).cast(evidence._LLM))
     counts = export.export_all(_articles(spark, sf_dir), terms, elections, out)
-    checks = (
-        spark.read.parquet(f"{out}/articles").agg(F.sum("content_chars").alias("total")).withColumn("table", F.lit("articles")),
-        spark.read.parquet(f"{out}/terms").agg(F.sum("tf").alias("total")).withColumn("table", F.lit("terms")),
-        spark.read.parquet(f"{out}/elections").agg(F.sum(F.size("candidate_terms")).alias("total")).withColumn("table", F.lit("elections")),
-    )
-    rows = checks[0].unionByName(checks[1]).unionByName(checks[2])
-    n = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
-    return rows.select("table", F.element_at(n, F.col("table")).cast("bigint").alias("n"), F.col("total").cast("bigint").alias("total"))
+
+
+    def rows(name: str, a: str, b: str, n: str, more: Column) -> DataFrame:
+        return spark.read.parquet(f"{out}/{name}").select(
+            F.lit(name).alias("table"), F.lit(counts[name]).cast("bigint").alias("exported"), F.col(a).alias("a"), F.col(b).alias("b"), F.expr(n).cast("bigint").alias("n"), more.alias("more")
+        )
+
+    articles = rows("articles", "article_id", "content_sha256", "content_chars", F.col("url"))
+    terms = rows("terms", "date", "term", "tf", F.array_join("article_ids", ","))
+    return articles.unionByName(terms).unionByName(rows("elections", "date", "word", "size(candidate_terms)", F.array_join("candidate_terms", ",")))
 
 
 def evidence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +117,8 @@ def day_page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prev_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presentation.with_neighbours(corpus.elect_daily(spark, sf_dir)).select("date", "word", "prev_date", "next_date")
+    # one row a day, read by both sides of a join
+    return presentation.with_neighbours(stage(corpus.elect_daily(spark, sf_dir), "elected")).select("date", "word", "prev_date", "next_date")
 
 
 def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,18 +149,20 @@ def rerank_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blurb_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = _articles(spark, sf_dir).select("article_id", "source_id", "title", "url", "snippet")
-    texts = t.raw_items(spark, sf_dir).select("article_id", "content_text")
-    # read twice: for the evidence ids and for the words
-    return evidence.blurb_prompts(stage(corpus.elections(spark, sf_dir), "elections"), articles, texts)
+    # read for the evidence ids and for the words
+    elected = stage(corpus.elections(spark, sf_dir), "elections")
+    wanted = elected.select(F.explode("evidence_article_ids").alias("article_id")).distinct()
+    items = stage(t.raw_items(spark, sf_dir).join(wanted, "article_id", "left_semi"), "evidence-items")
+    articles = items.select("article_id", "source_id", "title", "url", art.snippet(F.col("content_text")).alias("snippet"))
+    return evidence.blurb_prompts(elected, articles, items.select("article_id", "content_text"))
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns wrapped as model replies: plain, fenced, inside prose, or no JSON at all."""
+    """Conversation turns wrapped as model replies: plain, fenced, inside prose, or broken off."""
     c = t.table(spark, sf_dir, "conversations")
     body = F.to_json(
         F.struct(
-            F.slice(txt.tokens(F.col("text")), 1, 3).alias("top"),
+            txt.tokens(F.col("text")).alias("top"),
             F.concat(F.lit(" "), "text", F.lit(" ")).alias("summary"),
             F.col("role").alias("why"),
             F.struct(F.col("role").alias("text"), F.array("role", F.lit(" ")).alias("references")).alias("definition"),
@@ -168,7 +173,7 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(form == 0, body)
         .when(form == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
         .when(form == 2, F.concat(F.lit("Sure: "), body, F.lit(" Done.")))
-        .otherwise("no object here")
+        .otherwise(F.substring_index(body, '"why"', 1))
     )
     return c.select("conv_id", "turn", reply.alias("reply"))
 
@@ -187,17 +192,20 @@ def parse_blurb_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attach_blurbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies for every elected day; those without a reason are no blurb."""
-    elected = corpus.elect_daily(spark, sf_dir)
-    why = F.when(F.dayofmonth("date") < 20, F.concat(F.lit("about "), F.col("word"))).otherwise("")
-    answers = elected.select(
-        "date",
-        F.to_json(F.struct(F.col("word").alias("summary"), why.alias("why"))).alias("reply"),
-        F.lit("m").alias("model"),
-        F.lit(t.FETCHED_AT).alias("generated_at"),
-    )
-    done = evidence.attach_blurbs(elected, evidence.blurbs(answers))
-    return done.select("date", "word", F.col("llm.summary").alias("llm_summary"), F.col("llm.why").alias("llm_why"), F.col("llm.model").alias("llm_model"))
+    """Replies for every elected day; those without a reason are no blurb. Some days have one from before, which stays, or
+    is replaced by force."""
+    elected = stage(corpus.elect_daily(spark, sf_dir), "elected")
+
+    def answers(before_day: int, said: str) -> DataFrame:
+        why = F.when(F.dayofmonth("date") < before_day, F.concat(F.lit(f"{said} "), F.col("word"))).otherwise("")
+        reply = F.to_json(F.struct(F.col("word").alias("summary"), why.alias("why")))
+        return elected.select("date", reply.alias("reply"), F.lit(said).alias("model"), F.lit(t.FETCHED_AT).alias("generated_at"))
+
+    earlier = stage(evidence.attach_blurbs(elected, evidence.blurbs(answers(10, "first"))), "earlier")
+    later = evidence.blurbs(answers(20, "about"))
+    kept, forced = evidence.attach_blurbs(earlier, later), evidence.attach_blurbs(earlier, later, force=True)
+    told = kept.select("date", "word", F.col("llm.summary").alias("llm_summary"), F.col("llm.why").alias("llm_why"), F.col("llm.model").alias("llm_model"))
+    return told.join(forced.select("date", F.col("llm.why").alias("forced_why")), "date")
 
 
 def mixed_day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,10 +254,7 @@ def reprocess_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.process(spark, root, _settings(), backfill=True)
     jobs.elect_days(spark, root, _settings(), backfill=True)
     jobs.reprocess(spark, root, _settings(), dt.date(2024, 1, 5), dt.date(2024, 1, 12))
-    terms = tables.read(spark, root, "terms").groupBy("date").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("total_tf"), F.sum("df").alias("total_df"),
-        F.sum(F.size("article_ids")).alias("listed_articles"),
-    )
+    terms = tables.read(spark, root, "terms").select("date", "term", "tf", "df", F.array_join("article_ids", ",").alias("article_ids"))
     return terms.join(tables.read(spark, root, "elections").select("date", "word", F.round("score", 4).alias("score")), "date")
 
 

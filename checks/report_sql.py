@@ -38,10 +38,12 @@ FROM totals WHERE date >= DATE '2024-01-23' GROUP BY term ORDER BY total_tf DESC
     "term_first_seen": TERMS + " SELECT term, MIN(date) AS first_seen FROM totals GROUP BY term",
     "adhoc_sql": TERMS + """ SELECT CAST(date AS VARCHAR) AS date, COUNT(*) AS n_terms, CAST(SUM(tf) AS BIGINT) AS total_tf, MAX(df) AS max_df
 FROM totals GROUP BY date""",
-    "export_roundtrip": with_(*ELECTED) + """
-SELECT 'articles' AS "table", COUNT(*) AS n, CAST(SUM(length(text)) AS BIGINT) AS total FROM docs
-UNION ALL SELECT 'terms', COUNT(*), CAST(SUM(tf) AS BIGINT) FROM totals
-UNION ALL SELECT 'elections', (SELECT COUNT(*) FROM days), COUNT(*) FROM ranked WHERE rank <= 10""",
+    "export_roundtrip": with_(*ELECTED, lists(50, 10)) + """
+SELECT 'articles' AS "table", (SELECT COUNT(*) FROM docs) AS exported, article_id AS a, sha256(text) AS b, length(text) AS n, url AS more FROM docs
+UNION ALL SELECT 'terms', (SELECT COUNT(*) FROM totals), CAST(t.date AS VARCHAR), t.term, t.tf, i.article_ids
+  FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term
+UNION ALL SELECT 'elections', (SELECT COUNT(*) FROM days), CAST(date AS VARCHAR), max(term) FILTER (rank = 1), COUNT(*), string_agg(term, ',' ORDER BY rank)
+  FROM ranked WHERE rank <= 10 GROUP BY date""",
     "evidence_join": with_(*ELECTED, EVIDENCE)
     + " SELECT e.date, e.pos, e.article_id, d.source_id, d.kind, d.url FROM evid e JOIN docs d ON d.article_id = e.article_id",
     "day_page_articles": with_(*ELECTED) + " SELECT d.date, d.article_id, d.url FROM docs d JOIN ranked r ON r.date = d.date AND r.rank = 1",
@@ -71,14 +73,16 @@ SELECT r.date, 'WORD OF THE DAY: ' || r.term || chr(10) || chr(10) || 'Top candi
   (SELECT string_agg(line, chr(10) ORDER BY pos) FROM shown s WHERE s.date = r.date) AS prompt
 FROM ranked r WHERE r.rank = 1""",
     "parse_rerank_replies": f"""
-SELECT conv_id, turn, CASE WHEN {FORM} <> 3 AND len(found) > 0 THEN array_to_string(list_transform(list_slice(found, 1, 3), lambda x: lower(x)), ',') END AS top
+SELECT conv_id, turn, CASE WHEN {FORM} <> 3 AND len(found) > 0 THEN array_to_string(list_transform(found, lambda x: lower(x)), ',') END AS top
 FROM (SELECT *, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9''\\-]*[A-Za-z0-9]|[A-Za-z]') AS found FROM conversations)""",
     "parse_blurb_replies": f"""
 SELECT conv_id, turn, CASE WHEN {FORM} <> 3 AND s <> '' THEN length(s) END AS summary_chars, CASE WHEN {FORM} <> 3 THEN role END AS why,
   CASE WHEN {FORM} <> 3 THEN role END AS definition, CASE WHEN {FORM} <> 3 THEN role END AS refs
 FROM (SELECT *, regexp_replace(text, '{EDGES}', '', 'g') AS s FROM conversations)""",
     "attach_blurbs": with_(*ELECTED) + """ SELECT date, term AS word, CASE WHEN day(date) < 20 THEN term END AS llm_summary,
-  CASE WHEN day(date) < 20 THEN 'about ' || term END AS llm_why, CASE WHEN day(date) < 20 THEN 'm' END AS llm_model FROM ranked WHERE rank = 1""",
+  CASE WHEN day(date) < 10 THEN 'first ' || term WHEN day(date) < 20 THEN 'about ' || term END AS llm_why,
+  CASE WHEN day(date) < 10 THEN 'first' WHEN day(date) < 20 THEN 'about' END AS llm_model,
+  CASE WHEN day(date) < 20 THEN 'about ' || term END AS forced_why FROM ranked WHERE rank = 1""",
     "mixed_day_terms": with_(*CORPUS, TOP, """
 mixed AS (
   SELECT o.date, o.article_id, o.term, o.tf FROM occ o JOIN docs d ON d.article_id = o.article_id WHERE d.kind <> 'tweet'
@@ -92,9 +96,8 @@ SELECT article_id, kind, CASE WHEN kind = 'tweet' THEN DATE '{t.AS_OF}' WHEN pub
   ELSE date END AS bucket_date FROM bucketed
 UNION ALL SELECT article_id, kind, date FROM bucketed WHERE kind = 'tweet' AND date <> DATE '{t.AS_OF}'""",
     "reprocess_range": with_(*BUCKETED, *ON_BUCKETS, totals(), baseline(), SCORED, RANKED, lists(50, 10)) + """
-SELECT t.date, t.n_terms, t.total_tf, t.total_df, t.listed_articles, r.term AS word, round(round(r.score, 6), 4) AS score FROM (
-  SELECT t.date, COUNT(*) AS n_terms, CAST(SUM(tf) AS BIGINT) AS total_tf, CAST(SUM(df) AS BIGINT) AS total_df, CAST(SUM(least(df, 50)) AS BIGINT) AS listed_articles
-  FROM totals t GROUP BY t.date) t JOIN ranked r ON r.date = t.date AND r.rank = 1""",
+SELECT t.date, t.term, t.tf, t.df, i.article_ids, r.term AS word, round(round(r.score, 6), 4) AS score
+FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term JOIN ranked r ON r.date = t.date AND r.rank = 1""",
     "processed_days": with_(*BUCKETED, *ON_BUCKETS) + " SELECT date, document_count FROM days",
     "stream_daily_terms": with_(*BUCKETED, *ON_BUCKETS, totals(), lists(50, 10))
     + " SELECT t.date, t.term, t.tf, t.df, i.article_ids FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term",

@@ -72,10 +72,10 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daystats.day_headers(raw_items(spark, sf_dir).select("date", "article_key"))
 
 
-def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def totals(spark: SparkSession, sf_dir: str, headers: DataFrame | None = None) -> DataFrame:
     """Capped ``date, term, tf, df, document_count``; no per-article lists, one pass over the text."""
     terms = daystats.article_terms(counted(spark, sf_dir), "date")
-    return daystats.cap_terms(daystats.day_totals(terms, days(spark, sf_dir)))
+    return daystats.cap_terms(daystats.day_totals(terms, days(spark, sf_dir) if headers is None else headers))
 
 
 def staged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

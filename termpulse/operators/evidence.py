@@ -53,13 +53,13 @@ def rerank_orders(answers: DataFrame) -> DataFrame:
 def blurb_prompts(elections: DataFrame, articles: DataFrame, fulltext: DataFrame) -> DataFrame:
     """One prompt per elected day: word, candidates, and up to eight evidence articles.
 
-    Articles are joined by the few evidence ids, so only their texts are read into the join.
+    Articles are joined by the few evidence ids; a text is joined only where the snippet is blank.
     """
     evidence = evidence_rows(
         elections, articles.select("article_id", "source_id", "title", "url", "snippet"), fixed.BLURB_EVIDENCE
     )
     texts = fulltext.select("article_id", "content_text").join(
-        evidence.select("article_id").distinct(), "article_id", "left_semi"
+        evidence.where(F.coalesce("snippet", F.lit("")) == "").select("article_id").distinct(), "article_id", "left_semi"
     )
     entry = F.struct("pos", "source_id", "title", "url", "snippet", "content_text")
     # bounded: at most eight articles per day

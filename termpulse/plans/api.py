@@ -87,11 +87,11 @@ class Corpus:
         return df.orderBy(F.desc("date"))
 
     def trending(self, n: int = 10, since: Since = "7d") -> DataFrame:
-        """The n terms with the highest total count; ``'7d'`` covers eight calendar days."""
+        """The n terms with the highest total count (a term has one row a day); ``'7d'`` covers eight calendar days."""
         rows = self._on_days(self._terms, since, None)
         return (
             rows.groupBy("term")
-            .agg(F.sum("tf").alias("total_tf"), F.sum("df").alias("total_df"), F.countDistinct("date").alias("days"))
+            .agg(F.sum("tf").alias("total_tf"), F.sum("df").alias("total_df"), F.count(F.lit(1)).alias("days"))
             .orderBy(F.desc("total_tf"), "term")
             .limit(int(n))
         )

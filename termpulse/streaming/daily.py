@@ -20,15 +20,21 @@ def write_batch(batch: DataFrame, root: str, settings: Settings) -> None:
     gives the same tables, since touched days come from the batch and not from what was new in it.
     """
     spark = batch.sparkSession
-    as_of = F.lit(settings.as_of)
+    # the day of a row is that of its landing, so a stream that runs for long files new items under their own day
+    as_of, now = F.lit(settings.as_of), F.lit(settings.now)
+    if "landed_at" in batch.columns:
+        as_of = F.coalesce(F.to_date("landed_at"), as_of)
+        now = F.coalesce(F.date_format(F.to_utc_timestamp("landed_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"), now)
     items = stage(first_per(batch, ["url_canonical"], "item_ord"), "batch")
     new = stage(drop_known(items, tables.read(spark, root, "url_cache")), "batch-new")
     if not new.isEmpty():
-        derived = derive_articles(new, as_of, F.lit(settings.now), settings.top_terms, **settings.term_options()).drop("term_counts")
+        derived = derive_articles(new, as_of, now, settings.top_terms, **settings.term_options()).drop("term_counts")
         tables.upsert_articles(stage(derived.dropDuplicates(["bucket_date", "article_key"]), "derived"), root)
         tables.upsert_articles(full_texts(new, as_of).dropDuplicates(["bucket_date", "article_key"]), root, "fulltext")
-        seen = new.select("url_canonical", art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"))
-        tables.append(seen.withColumn("first_seen_date", as_of), root, "url_cache")
+        seen = new.select(
+            "url_canonical", art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"), as_of.alias("first_seen_date")
+        )
+        tables.append(seen, root, "url_cache")
     # calendar days only
     touched = items.select(art.bucket_date(F.col("published_at"), as_of).alias("d")).distinct().collect()
     process(spark, root, settings, [r.d for r in touched])

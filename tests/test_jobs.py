@@ -255,3 +255,16 @@ def test_feeds_that_cannot_be_read_are_logged(spark, tmp_path):
     jobs.ingest(spark, str(tmp_path), landed_of(spark), SETTINGS)
     logged = {(r.source_id, r.reason[:10]) for r in tables.read(spark, str(tmp_path), "rejects").collect()}
     assert ("broken", "no entries") in logged and ("odd", "unknown so") in logged
+
+
+def test_a_long_stream_files_items_under_the_day_they_landed(spark, tmp_path):
+    root = str(tmp_path / "data")
+    first, later = dt.datetime(2026, 4, 14, 9), dt.datetime(2026, 4, 16, 9)
+    for landed, guid, published in ((first, "g1", "2026-04-13T12:00:00+00:00"), (later, "g2", "2026-04-16T01:00:00+00:00"), (later, "g3", "bad"), (later, "g4", "2026-04-13T18:00:00+00:00")):
+        batch = raw(spark, [("a", guid, published, "agents agents")]).withColumn("landed_at", F.lit(landed))
+        daily.write_batch(batch, root, SETTINGS)
+    days = {r.url_canonical[-2:]: (str(r.bucket_date), r.fetched_at[:10]) for r in tables.read(spark, root, "articles").collect()}
+    assert days == {"g1": ("2026-04-13", "2026-04-14"), "g2": ("2026-04-16", "2026-04-16"), "g3": ("2026-04-16", "2026-04-16"), "g4": ("2026-04-13", "2026-04-16")}
+    # the late item is counted in its own day
+    assert {str(r.date): r.document_count for r in tables.read(spark, root, "days").collect()} == {"2026-04-13": 2, "2026-04-16": 2}
+    assert {r.term: str(r.first_seen) for r in tables.term_first_seen(spark, root).collect()}["agents"] == "2026-04-13"

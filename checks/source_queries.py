@@ -12,7 +12,7 @@ from checks import tables as t
 from termpulse.functions import article as art
 from termpulse.plans import jobs
 from termpulse.session import shared_dir
-from termpulse.sources import catalog, feeds, imports, tables, tweets
+from termpulse.sources import catalog, feeds, imports, registry, tables, tweets
 from termpulse.sources.archive import sitemap_urls
 from termpulse.sources.landed import Landed
 
@@ -79,6 +79,49 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("place", "source_id", "external_id", "url", "url_canonical", "title", "author", "published_at", F.sha2("content_text", 256).alias("text_sha256"), "kind")
 
 
+def atom_newsletter_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as Atom entries of newsletters."""
+    d, n = t.table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    entry = F.struct(
+        "doc_id",
+        F.concat(
+            F.lit("<entry><id>tag:"), n, F.lit('</id><title type="html">Issue '), n, F.lit('</title><link rel="self" href="https://self.example/"/>'),
+            F.lit('<link rel="alternate" href="https://'), "source", F.lit(".example.com/p/"), n,
+            F.lit('"/><updated>2024-01-02T10:00:00Z</updated><author><name>Ed </name></author><content type="html">'), _xml(_plain(F.col("text"))),
+            F.lit("</content></entry>"),
+        ).alias("xml"),
+    )
+    files = d.groupBy("source", F.floor(F.col("doc_id") / (PER_FILE * 20)).alias("n")).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    content = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), F.array_join(F.transform("e", lambda x: x["xml"]), ""), F.lit("</feed>"))
+    sources = [{"id": f"src{k}", "type": "newsletter", "feed": "f"} for k in range(20)]
+    items = feeds.newsletter_items(_landed(spark, sources, feeds=files.select(F.col("source").alias("source_id"), content.alias("content"))))
+    return items.select("source_id", "source_type", "external_id", "url", "title", "author", "published_at", F.sha2("content_text", 256).alias("text_sha256"))
+
+
+def tweet_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as entries of tweet feeds; answers to others are left out."""
+    c = t.table(spark, sf_dir, "conversations").withColumn("id", (F.col("conv_id") * 1000 + F.col("turn")).cast("string"))
+    text = F.concat(F.when(F.col("conv_id") % 3 == 0, "@ann ").otherwise(""), _plain(F.col("text")))
+    entry = F.concat(
+        F.lit("<item><title>t</title><link>https://tweets.example/"), "role", F.lit("/status/"), "id", F.lit("#m</link><pubDate>Wed, 03 Jan 2024 01:00:00 GMT</pubDate><description>"),
+        _xml(text), F.lit("</description></item>"),
+    )
+    files = c.groupBy("role", F.floor(F.col("conv_id") / 8).alias("n")).agg(F.array_join(F.collect_list(entry), "").alias("e"))
+    content = F.concat(F.lit("<rss><channel>"), "e", F.lit("</channel></rss>"))
+    sources = [{"id": r, "type": "twitter", "handle": r, "name": r.upper(), "exclude_replies": True, "min_likes": 9} for r in ("user", "assistant", "system")]
+    items = feeds.tweet_feed_items(_landed(spark, sources, feeds=files.select(F.col("role").alias("source_id"), content.alias("content"))))
+    return items.select("source_id", "external_id", "url", "author", "published_at", "kind", F.sha2("content_text", 256).alias("text_sha256"))
+
+
+def catalog_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources by type: how many items each adapter gives, and the sources that none reads."""
+    kinds = ["rss", "newsletter", "podcast", "archive"]
+    sources = [{"id": f"src{k}", "type": kinds[k % 4], "feed": "f"} for k in range(20)]
+    landed = _landed(spark, sources, feeds=_feed_files(spark, sf_dir))
+    given = registry.raw_items(landed).groupBy("source_id", "source_type").agg(F.count(F.lit(1)).alias("n"))
+    return given.unionByName(registry.unknown_sources(landed).select("source_id", "source_type", F.lit(0).cast("long").alias("n")))
+
+
 def tweet_api_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as tweet replies in many files of a source; those with few likes are left out."""
     c = t.table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", "conv_id", "turn"))
@@ -190,7 +233,7 @@ def cursor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        feed_items, tweet_api_items, sitemap_issues, word_list, json_articles, json_stats, json_elections, ingest_articles, url_cache_state,
+        feed_items, atom_newsletter_items, tweet_feed_items, catalog_dispatch, tweet_api_items, sitemap_issues, word_list, json_articles, json_stats, json_elections, ingest_articles, url_cache_state,
         cursor_state,
     )
 }

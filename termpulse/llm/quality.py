@@ -8,8 +8,8 @@ without a shuffle.
 The model is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their id: that many rows of some twenty numbers
 fix the few weights, and reach the driver whatever the size of the input. Statistics and scores cover every row.
 
-Null text: empty, scored like any text. Null labels: not learned from. Several labels of a document: each counts. Without
-labels every score is 0.5 (kept); with labels of one kind every score is that kind's smoothed share. Empty table: no rows.
+Null text: empty, scored like any text. Null labels: not learned from. Different labels of a doc_id: each counts once; of rows
+that share a doc_id one is learned from, and all are scored. Without labels every score is 0.5 (kept); with labels of one kind every score is that kind's smoothed share. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -205,11 +205,13 @@ def learn(values: np.ndarray, y: np.ndarray, names: tuple[str, ...] = STATISTICS
 def fit(statistics_rows: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
     """The model from staged statistics (with doc_id) and ``labels`` (doc_id, label)."""
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null")
+    # two labels at most and one row of statistics for a doc_id, however often it is repeated
+    chosen = common.stage(chosen.distinct(), "labels")
     # rows chosen by a hash, a few more than needed, so that the driver gets no more than it uses
-    n = chosen.count()
+    below = int((1 << 40) * min(1.0, 1.2 * sample / max(chosen.count(), 1)))
     order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    chosen = chosen.withColumn("_order", order).filter(F.col("_order") < int((1 << 40) * min(1.0, 1.2 * sample / max(n, 1))))
-    rows = statistics_rows.select("doc_id", *STATISTICS).join(chosen, "doc_id").drop("doc_id").toPandas()
+    own = statistics_rows.filter(order < below).groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    rows = own.join(chosen.withColumn("_order", order), "doc_id").select("s.*", "label", "_order").toPandas()
     rows = rows.sort_values(["_order", *STATISTICS, "label"], kind="stable").head(sample)
     return learn(rows[list(STATISTICS)].to_numpy(float).reshape(-1, len(STATISTICS)), rows["label"].to_numpy(float))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -11,14 +13,19 @@ from termpulse.llm.common import ragged
 
 #: Words a worker remembers; when full, it starts anew. About 170 bytes a word.
 REMEMBERED_WORDS = 1_200_000
+#: Words encoded in one call.
+JOINED = 500
+#: Signs at the end of a word, after an unaccented letter. The apostrophe, which may begin a part of its own, is left out.
+CLOSING = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{}~]+)(?=[\x20\x09-\x0D])")
 
 
 class Encoder:
     """Encodes whole texts to ids.
 
-    ``by_word`` is for vocabularies that drop white space (such as word_bpe_49k): there the ids of a text are those of
-    its words in a row, so each different word is encoded once and then looked up. Other vocabularies encode
-    the whole text.
+    ``by_word`` is for vocabularies that drop white space, lower letters and part signs from letters (such as
+    word_bpe_49k): there the ids of a text are those of its words in a row, and those of a word are its letters' and then
+    its closing signs'. So each different word is encoded once and then looked up. Other vocabularies encode the
+    whole text.
     """
 
     def __init__(self, path: str, by_word: bool = True, remembered: int = REMEMBERED_WORDS):
@@ -27,6 +34,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word, self.remembered = by_word, remembered
+        ending = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") if by_word else None
+        self.ends = None
+        if ending:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(ending)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -36,26 +49,45 @@ class Encoder:
         self.count = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found):
-            ids, at = encoding.ids, len(self.known)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if at == len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[at], self.count[at] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[word] = at
+        texts = [w.decode("utf-8") for w in words]
+        joined = [w for w in texts if self.ends is not None and w.isalpha()]
+        alone = [w for w in texts if self.ends is None or not w.isalpha()]
+        for first in range(0, len(joined), JOINED):
+            some = joined[first : first + JOINED]
+            ids = np.array(self._ids([" ".join(some)])[0], dtype=np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            # every word has an end at least, so equal numbers mean one for each
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self._add(some, ids, np.diff(ends, prepend=0))
+            else:
+                alone += some
+        if alone:
+            ids = self._ids(alone)
+            self._add(alone, np.array([i for own in ids for i in own], dtype=np.uint32), np.array([len(own) for own in ids], dtype=np.int64))
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        at = len(self.known)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while at + len(words) > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[at : at + len(words)] = self.used + np.cumsum(counts) - counts
+        self.count[at : at + len(words)] = counts
+        self.used += len(ids)
+        self.known.update(zip((w.encode("utf-8") for w in words), range(at, at + len(words))))
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         raw = text.encode("utf-8")
-        # the vocabulary lowers letters itself; special strings must keep their case to be told from others
-        words = (raw if b"<|" in raw else raw.lower()).split()
+        # special strings must keep their case and signs to be told from others
+        words = (raw if b"<|" in raw else CLOSING.sub(rb" \1", raw.lower())).split()
         at = list(map(self.known.get, words))
         if None in at:
             if len(self.known) > self.remembered:

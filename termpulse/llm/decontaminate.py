@@ -31,8 +31,8 @@ from termpulse.llm.wordhash import Rolling, word_hashes
 WORDS, THRESHOLD, HASHES, LEAST_BOUND = 5, 0.8, 64, 8
 #: Items that one pass over the documents looks for; their shingles are at most some ten MB.
 BLOCK_ITEMS = 20_000
-#: Shingles hashed at once.
-HASHED = 1 << 15
+#: Shingles hashed at once, in all orders.
+HASHED = 1 << 10
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -68,9 +68,10 @@ class Minima:
         step = max(1, HASHED // size)
         for first in range(0, blocks, step):
             some = np.ascontiguousarray(folded[first : first + step].T)
-            for p in range(len(self.a)):
-                value = (some ^ self.b[p]) * self.a[p]
-                out[p, first : first + step] = (value ^ (value >> np.uint32(15))).min(axis=0)
+            value = some[None] ^ self.b[:, None, None]
+            value *= self.a[:, None, None]
+            value ^= value >> np.uint32(15)
+            out[:, first : first + step] = value.min(axis=1)
         return out
 
 
@@ -91,10 +92,11 @@ class Search:
             for p, value in enumerate(values.tolist()):
                 self.bounds.setdefault(bound, defaultdict(list))[p, value].append(k)
         for bound, keys in self.bounds.items():
-            marked = np.zeros((HASHES, 1 << 16), dtype=bool)
+            marked = np.zeros(HASHES << 16, dtype=bool)
             for p, value in keys:
-                marked[p, value >> 16] = True
+                marked[(p << 16) + (value >> 16)] = True
             self.coarse[bound] = marked
+        self.rows = np.arange(HASHES, dtype=np.uint32)[:, None] << np.uint32(16)
 
     def candidates(self, words: list[bytes]) -> set[int]:
         hashes = shingle_hashes(words, self.words)
@@ -110,10 +112,10 @@ class Search:
                 blocks, size = np.minimum(blocks[:, ::2], blocks[:, 1::2]), 1 << bound
             if size in self.bounds:
                 windows = np.minimum(blocks[:, :-1], blocks[:, 1:]) if blocks.shape[1] > 1 else blocks
-                keys, coarse = self.bounds[size], self.coarse[size]
-                for p in range(HASHES):
-                    for value in windows[p][coarse[p][windows[p] >> np.uint32(16)]].tolist():
-                        found.update(keys.get((p, value), ()))
+                keys = self.bounds[size]
+                hit = np.flatnonzero(self.coarse[size].take((windows >> np.uint32(16)) + self.rows))
+                for p, value in zip((hit // windows.shape[1]).tolist(), windows.ravel()[hit].tolist()):
+                    found.update(keys.get((p, value), ()))
         return found
 
     def matches(self, text: str | None) -> list[tuple[object, int, int]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import xxhash
 
@@ -11,7 +13,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), dtype=np.uint64, count=len(words))
 
 
 def powers(base: int, n: int) -> np.ndarray:

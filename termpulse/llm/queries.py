@@ -116,6 +116,15 @@ def _field(name: str, value: str) -> str:
 
 
 SQL = {
+    "op5_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (k) WHERE doc_id > f),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT a.doc_id, count(g.p) AS n_removed, string_agg(a.x, ' ' ORDER BY a.p) FILTER (g.p IS NULL) AS t
+  FROM words a LEFT JOIN gone g ON g.doc_id = a.doc_id AND g.p = a.p GROUP BY a.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
     "op10_warc_derivatives": page_sql.with_(page_sql.SHOWN, page_sql.HREFS, f"""
 texts AS (SELECT page_id, {page_sql.stripped(page_sql.plain('title'))} AS title,
   array_to_string(list_filter(list_transform(nodes, lambda n: {page_sql.stripped(page_sql.plain('n'))}), lambda n: n <> ''), chr(10)) AS text

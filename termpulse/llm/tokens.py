@@ -19,6 +19,18 @@ JOINED = 500
 CLOSING = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{}~]+)(?=[\x20\x09-\x0D])")
 
 
+class _Numbers(dict):
+    """Numbers new words in the order in which they are met, and lists them."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Encodes whole texts to ids.
 
@@ -43,7 +55,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbers()
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.first = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int64)
@@ -52,35 +64,37 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8") for w in words]
-        joined = [w for w in texts if self.ends is not None and w.isalpha()]
-        alone = [w for w in texts if self.ends is None or not w.isalpha()]
+    def _learn(self) -> None:
+        """Encode the words that are new."""
+        texts, first_new = [w.decode("utf-8") for w in self.known.new], len(self.known) - len(self.known.new)
+        self.known.new = []
+        letters = [self.ends is not None and w.isalpha() for w in texts]
+        joined = [k for k, x in enumerate(letters) if x]
+        alone = [k for k, x in enumerate(letters) if not x]
         for first in range(0, len(joined), JOINED):
             some = joined[first : first + JOINED]
-            ids = np.array(self._ids([" ".join(some)])[0], dtype=np.uint32)
+            ids = np.array(self._ids([" ".join([texts[k] for k in some])])[0], dtype=np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             # every word has an end at least, so equal numbers mean one for each
             if len(ends) == len(some) and ends[-1] == len(ids):
-                self._add(some, ids, np.diff(ends, prepend=0))
+                self._add(first_new + np.array(some), ids, np.diff(ends, prepend=0))
             else:
                 alone += some
         if alone:
-            ids = self._ids(alone)
-            self._add(alone, np.array([i for own in ids for i in own], dtype=np.uint32), np.array([len(own) for own in ids], dtype=np.int64))
+            ids = self._ids([texts[k] for k in alone])
+            counts = np.array([len(own) for own in ids], dtype=np.int64)
+            self._add(first_new + np.array(alone), np.array([i for own in ids for i in own], dtype=np.uint32), counts)
 
-    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        at = len(self.known)
+    def _add(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(words) > len(self.first):
+        while len(self.known) > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.first[at : at + len(words)] = self.used + np.cumsum(counts) - counts
-        self.count[at : at + len(words)] = counts
+        self.first[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
         self.used += len(ids)
-        self.known.update(zip((w.encode("utf-8") for w in words), range(at, at + len(words))))
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word:
@@ -88,16 +102,13 @@ class Encoder:
         raw = text.encode("utf-8")
         # special strings must keep their case and signs to be told from others
         words = (raw if b"<|" in raw else CLOSING.sub(rb" \1", raw.lower())).split()
-        at = list(map(self.known.get, words))
-        if None in at:
-            if len(self.known) > self.remembered:
-                self._forget()
-            # the missing words in the order of the text
-            self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-            at = list(map(self.known.__getitem__, words))
-        if not at:
+        if not words:
             return np.zeros(0, dtype=np.uint32)
-        index = np.array(at, dtype=np.int64)
+        if len(self.known) > self.remembered:
+            self._forget()
+        index = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.known.new:
+            self._learn()
         return self.flat[ragged(self.first[index], self.count[index])]
 
 

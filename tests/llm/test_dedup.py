@@ -186,6 +186,40 @@ def test_buckets_split_into_chunks_lose_no_link(spark):
     assert {v: roots.get(v, v) for v in parent} == {v: h.root_of(parent, v) for v in parent}
 
 
+def edited_copies(n, edits):
+    """A text of 300 words, then copies in which ``edits`` spread words are replaced."""
+    rng, base = np.random.default_rng(n + edits), [f"w{k}" for k in np.random.default_rng(5).integers(10**6, size=300)]
+    out = [" ".join(base)]
+    for d in range(n):
+        words = list(base)
+        for k in range(edits):
+            words[int((k + 0.5) * 300 / edits + rng.integers(-5, 6))] = f"n{d}_{k}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_large_buckets_verify_every_pair_within_the_radius(spark):
+    """Copies resemble their original but not each other, so only the pairs with it are links."""
+    texts = edited_copies(400, 6)
+    prints = [plain_fingerprint(t) for t in texts]
+    blocks = [{k for k in range(8) if not (p ^ prints[0]) >> 8 * k & 255} for p in prints]
+    met = [d for d in range(1, 401) if len(blocks[d]) >= 2 and (prints[d] ^ prints[0]).bit_count() <= simhash.WIDE]
+    assert len(met) > 200 and all(simhash.resemblance(texts[0], texts[d]) >= 0.8 for d in met)
+    kept = {r.doc_id for r in simhash.deduplicate(h.frame(spark, [(d, t, "en", "a", 1) for d, t in enumerate(texts)])).collect()}
+    assert 0 in kept and not kept & set(met)
+
+
+@pytest.mark.parametrize("chunk", [7, 512])
+def test_crowds_in_chunks_lose_no_link(spark, chunk):
+    texts = edited_copies(60, 6)
+    marked = spark.createDataFrame([(d, d, d, d) for d in range(61)], "row long, doc_id long, fp long, node long")
+    crowds = spark.createDataFrame([(9, d) for d in range(61)], "crowd long, node long")
+    roots = spark.createDataFrame([(d, 1) for d in range(2, 30)], "node long, root long")
+    found = simhash.crowd_links(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), marked, crowds, roots, chunk=chunk)
+    joined = found.union(roots)
+    assert {r.root for r in components(joined).collect()} == {0} and components(joined).count() == 60
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 5, 11])
 def test_bit_sliced_links(radius):
     rng = np.random.default_rng(radius)

@@ -7,14 +7,16 @@ planes; the distances to 64 of them at a time are counted in carry-save counters
 once all of it exceeds the radius. Groups are the connected components of the links.
 
 A bucket of more than ``CHUNK`` fingerprints is split into chunks that are compared two by two in separate groups, so
-that no task holds a whole large bucket; equal fingerprints count once from the start. A group yields a spanning
-forest of its links, not all of them.
+that no task holds a whole large bucket; for ``groups``, equal fingerprints count once from the start. A group yields a
+spanning forest of its links, not all of them.
 
 ``deduplicate`` looks further, for texts whose five-word shingles have a resemblance of 0.8 or more: it compares the
 fingerprints within a wider radius and verifies every pair within it on the shingles, unless verified links join the two
 already. All pairs of a small bucket are rows. Of a large one the first rows are each fingerprint with its nearest and the
 bucket's forest; then its crowds (parts that the radius joins up) of which these links left several components are
-compared as a whole, by shared shingles, and only verified links become a forest. The radius is beyond what the buckets
+compared as a whole, by shared shingles, and only verified links become a forest. Texts count once only if both their
+fingerprint and their set of shingles are equal; one frequent shingle can give unlike texts one fingerprint, and these are
+verified like any others. The radius is beyond what the buckets
 guarantee, so such pairs meet with a chance that falls with their distance.
 
 Null or blank text: fingerprint zero. Null doc_id: takes part, and names no component unless all of it is null. Repeated
@@ -97,6 +99,28 @@ def fingerprints(docs: DataFrame, words: int = WORDS, row: str | None = None) ->
     return rows.mapInArrow(marked, "row long, doc_id long, fp long")
 
 
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """The different shingles of a text as sorted 64-bit hashes."""
+    parts = shingles(text, words)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), dtype=np.uint64, count=len(parts)))
+
+
+def node_prints(docs: DataFrame, words: int, shingle: int, row: str) -> DataFrame:
+    """``row, doc_id, fp, node``: node is a digest of the fingerprint and the set of shingles of ``shingle`` words."""
+    rows = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, nodes = [], []
+            for text in common.texts_of(batch, "text"):
+                prints.append(fingerprint(text, words))
+                nodes.append(xxhash.xxh3_64_intdigest(shingle_hashes(text, shingle).tobytes(), prints[-1]))
+            found = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (prints, nodes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], ["row", "doc_id", "fp", "node"])
+
+    return rows.mapInArrow(marked, "row long, doc_id long, fp long, node long")
+
+
 # ---- comparison
 
 
@@ -318,12 +342,6 @@ def resemblance(a: str, b: str, words: int = SHINGLE) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def shingle_hashes(text: str, words: int = SHINGLE) -> np.ndarray:
-    """The different shingles of a text as sorted 64-bit hashes."""
-    parts = shingles(text, words)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), dtype=np.uint64, count=len(parts)))
-
-
 def texts_of_nodes(texts: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, text`` of ``nodes``, the text being that of the node's first row; ``texts`` has row and text, dealt by row."""
     chosen = marked.groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node", "left_semi")
@@ -420,8 +438,8 @@ def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = WIDE, blocks:
     row = common.free_name(docs, "row")
     rows = common.dealt(common.numbered(docs, row), row, "numbered")
     texts = rows.select(F.col(row).alias("row"), "text")
-    marked = common.stage(fingerprints(rows, words, row).withColumn("node", F.col("fp")), "fingerprints")
-    different = common.stage(marked.select("fp", "node").distinct(), "different-fingerprints")
+    marked = common.stage(node_prints(rows, words, shingle, row), "fingerprints")
+    different = common.stage(marked.select("fp", "node").distinct(), "different-texts")
     found = common.stage(searched(different, radius, blocks, equal, crowds=True), "near-links")
     first = similar(texts, marked, found.filter("b is not null").select("a", "b"), shingle, least)
     roots = common.stage(components(first), "roots")

@@ -220,6 +220,16 @@ def test_crowds_in_chunks_lose_no_link(spark, chunk):
     assert {r.root for r in components(joined).collect()} == {0} and components(joined).count() == 60
 
 
+@pytest.mark.parametrize("n", [6, 50])
+def test_equal_fingerprints_are_verified(spark, n):
+    """One shingle that makes over half of a text is the fingerprint; only texts that resemble each other are one."""
+    texts = ["- " * 400 + " ".join(f"x{k}_{i}" for i in range(100)) for k in range(n)]
+    texts += [texts[0].upper(), texts[1] + " end"]
+    assert len({plain_fingerprint(t) for t in texts}) == 1
+    kept = sorted(r.doc_id for r in simhash.deduplicate(h.frame(spark, [(d, t, "en", "a", 1) for d, t in enumerate(texts)])).collect())
+    assert kept == list(range(n))
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 5, 11])
 def test_bit_sliced_links(radius):
     rng = np.random.default_rng(radius)

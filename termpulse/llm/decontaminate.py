@@ -4,9 +4,10 @@ An item is contained in a document when at least ``THRESHOLD`` of its different
 space, lower-cased in A-Z; a shorter text is one shingle) occur there. Items are partitioned by their number of shingles,
 each partition up to a power of two ``u``. A document is searched in windows of ``2 * u`` shingles, one every ``u``, so
 an item lies within one window, however long the document is; the window's size against the partition's bound keeps the
-resemblance of the two above 0.19 for every contained item. A window and an item that agree in any of ``HASHES``
-minima are compared (a miss has a chance of about 1e-6 at the very worst, and far less for full copies), and every
-candidate is verified on the texts of its shingles.
+resemblance of the two above 0.19 for every contained item of five or more shingles. A window and an item that agree in any of
+``HASHES`` minima are compared (a miss has a chance of about 1e-6 at the very worst, and far less for full copies). Items of
+fewer shingles are looked up by each of their shingles' hashes, without a chance of a miss. Every candidate is verified
+on the texts of its shingles.
 
 Items are held in blocks of at most ``BLOCK_ITEMS``, each sent to the tasks and searched in a pass of its own; documents
 are not shuffled. Null or blank text, of a document or item: no shingles, contained in nothing. Repeated rows: each is
@@ -29,6 +30,8 @@ from termpulse.llm import common
 from termpulse.llm.wordhash import Rolling, word_hashes
 
 WORDS, THRESHOLD, HASHES, LEAST_BOUND = 5, 0.8, 64, 8
+#: Items of fewer different shingles are looked up by shingle, not by minima.
+FEW = 5
 #: Items that one pass over the documents looks for; their shingles are at most some ten MB.
 BLOCK_ITEMS = 20_000
 #: Shingles hashed at once, in all orders.
@@ -83,10 +86,16 @@ class Search:
         self.items = [(item_id, shingle_set(words_of(text), words)) for item_id, text in items]
         self.bounds: dict[int, dict[tuple[int, int], list[int]]] = {}
         self.coarse: dict[int, np.ndarray] = {}
+        #: Items below ``FEW`` shingles by each of their hashes, and these hashes in order.
+        self.few: dict[int, list[int]] = defaultdict(list)
         for k, (_, text) in enumerate(items):
             hashes = np.unique(shingle_hashes(words_of(text), words))
             if not len(hashes):
                 continue
+            if len(hashes) < FEW:
+                for value in hashes.tolist():
+                    self.few[value].append(k)
+                continue
             bound = max(LEAST_BOUND, 1 << int(len(hashes) - 1).bit_length())
             values = self.minima.of_blocks(hashes, len(hashes))[:, 0]
             for p, value in enumerate(values.tolist()):
@@ -96,6 +105,7 @@ class Search:
             for p, value in keys:
                 marked[(p << 16) + (value >> 16)] = True
             self.coarse[bound] = marked
+        self.few_hashes = np.array(sorted(self.few), dtype=np.uint64)
         self.rows = np.arange(HASHES, dtype=np.uint32)[:, None] << np.uint32(16)
 
     def candidates(self, words: list[bytes]) -> set[int]:
@@ -103,6 +113,11 @@ class Search:
         if not len(hashes):
             return set()
         found: set[int] = set()
+        if self.few:
+            for value in hashes[np.isin(hashes, self.few_hashes)].tolist():
+                found.update(self.few[value])
+        if not self.bounds:
+            return found
         size, blocks = LEAST_BOUND, self.minima.of_blocks(hashes, LEAST_BOUND)
         for bound in range(LEAST_BOUND.bit_length() - 1, max(self.bounds, default=1).bit_length()):
             if 1 << bound > size:

@@ -309,3 +309,14 @@ def test_decontaminated_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(df, none).count() == len(leaking())
     assert decontaminate.contained(df, none).count() == 0 and decontaminate.contained(df.limit(0), items).count() == 0
+
+
+def test_items_of_few_shingles_are_never_missed(spark):
+    """Items of five to eight words have too small a share of a window for its minima."""
+    rng = np.random.default_rng(3)
+    items = [(k, " ".join(f"i{k}_{x}" for x in range(5 + k % 4))) for k in range(1200)]
+    fill = lambda n: " ".join(f"f{x}" for x in rng.integers(10**9, size=n))
+    search = decontaminate.Search(items)
+    for k, text in items:
+        n = 1 + k % 4
+        assert search.matches(f"{fill(40)} {text} {fill(40)}") == [(k, n, n)]

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import page_sql
-from termpulse.llm import decontaminate, exact, huffman, lm, packing, quality, secrets, simhash, substring, warc
+from termpulse.llm import decontaminate, exact, fertility, huffman, lm, merkle, packing, quality, repair, secrets, simhash, structure_sql, substring, warc
 from termpulse.session import shared_dir
 
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY, PIECES, RANKS = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Date of the landed pages, which have none of their own.
 CRAWLED = "2024-01-30T06:00:00Z"
 
@@ -78,6 +79,53 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(records, keep=["page_id"]).drop("payload_digest")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The conversations with the faults of the contract; null is one space, but in conv_id and turn only where they are hashed."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    role = F.when(kind == 4, F.lit("user")).otherwise(shown("role"))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(kind == 3, F.lit(2)).otherwise(F.lit(1))))
+    return turns.filter(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.repair(damaged(turns))
+    rows = turns.select("conv_id").distinct().withColumn("conv", repair.conversation())
+    rows = rows.join(found.summary(), "conv", "left").join(repair.digests(found.repaired()), "conv", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return rows.select(
+        "conv_id",
+        *map(count, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = lambda text: merkle.leaf([*map(F.col, ("doc_id", "source", "lang", "n_chars")), text])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, leaf(F.translate("text", UPPER, LOWER)))
+    rows = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    manifest = merkle.build(rows, by="source", digest="leaf", order=["doc_id"], keep=["doc_id", "tampered"])
+    found = merkle.folded(merkle.proofs(manifest), F.coalesce("row.tampered", "leaf"))
+    text = lambda digest: F.lower(F.hex(digest))
+    return found.select(
+        "row.doc_id",
+        *[text(c).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(text("siblings"), 256).alias("proof_sha256"),
+        text("folded_root").alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fertility.judged(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select(*base, "kind", "length_class", *fertility.REACH, F.array_join("outside", ",").alias("outside"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -89,10 +137,11 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_tokeniser_fertility": op13_tokeniser_fertility,
 }
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def _shingles(name: str, key: str) -> str:
     """A table of the different five-word shingles of each text."""
@@ -116,6 +165,8 @@ def _field(name: str, value: str) -> str:
 
 
 SQL = {
+    "op11_conversation_repair": structure_sql.REPAIR,
+    "op12_merkle_manifest": structure_sql.MERKLE,
     "op5_substring_dedup": r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),

@@ -30,9 +30,52 @@ def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
     """``df`` written in buckets by ``key``: joins on it later read the table in place, without another shuffle of it."""
     spark = df.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
-    written = df.repartition(n, key).write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    return _in_buckets(df.repartition(n, key), n, key, name)
+
+
+def _in_buckets(df: DataFrame, n: int, key: str, name: str) -> DataFrame:
+    """``df`` written in ``n`` buckets by ``key``. Only the plan knows the table: its entry in the catalog is dropped at
+    once, and its files stay in the shared folder."""
+    spark = df.sparkSession
+    written = df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
     written.bucketBy(n, key).sortBy(key).saveAsTable(name)
-    return spark.table(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+#: Bits of a row's number that tell its place in the task that wrote it; those above tell the task.
+PLACE_BITS = 33
+
+
+def numbered_files(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written with a number for each row, and the name of that column (see ``kept_rows``).
+
+    Rows stay in the task that read them: each task writes one bucket file, so nothing is shuffled.
+    """
+    row = free_name(df, "row")
+    rows = df.withColumn(row, F.monotonically_increasing_id()).withColumn(f"{row}_task", F.shiftright(row, PLACE_BITS))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _in_buckets(rows, n, f"{row}_task", f"{name}_{uuid.uuid4().hex}"), row
+
+
+def kept_rows(written: DataFrame, row: str, stay: DataFrame) -> DataFrame:
+    """The rows of ``numbered_files`` whose numbers are in ``stay`` (column row), with the columns that they came with.
+
+    ``stay`` becomes a map of bits for each task that wrote rows, and meets the files in place: only these bits move.
+    """
+    task = f"{row}_task"
+    place = F.col("row").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
+    bits = stay.select(F.shiftright("row", PLACE_BITS).alias("t"), place.alias("p"))
+    bits = bits.groupBy("t", F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("b"))
+    # a bit for each row of one task
+    bits = bits.groupBy(F.col("t").alias(task)).agg(F.map_from_entries(F.collect_list(F.struct("k", "b"))).alias(f"{task}_bits"))
+    own = F.col(row).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
+    position = F.bitmap_bit_position(own)
+    octet = F.try_element_at(f"{task}_bits", F.bitmap_bucket_number(own))
+    octet = F.conv(F.hex(F.substring(octet, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.bit_get(octet, (position % 8).cast("int")) == 1
+    return written.join(bits, task).filter(is_set).drop(row, task, f"{task}_bits")
 
 
 def remove(spark: SparkSession, *staged: DataFrame) -> None:

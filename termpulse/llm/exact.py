@@ -3,7 +3,8 @@
 A normalised text (white space deleted) is cut after a punctuation mark once a chunk has ``LEAST`` characters, so equal
 texts give equal chunks. Chunks get a 64-bit identifier that is verified: all chunks of an identifier must have one
 SHA-256, and those that differ are told apart by an ordinal. A document's recipe is the ordered list of its verified
-identifiers; texts are equal when their recipes are. Texts are read once and never shuffled.
+identifiers; texts are equal when their recipes are. Texts are never shuffled: ``groups`` reads them once, and
+``deduplicate`` writes them numbered, reads recipes and then the rows that stay.
 
 Null text: empty; all texts without a character other than white space are one group. Null doc_id: after all others.
 Rows that tie in length and doc_id: one of them stays. Empty table: no rows.
@@ -90,8 +91,5 @@ def groups(docs: DataFrame, row: str | None = None) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. ``docs`` has doc_id and text, and any others."""
-    row = common.free_name(docs, "row")
-    rows = common.dealt(common.numbered(docs, row), row, "numbered")
-    stay = groups(rows, row).filter("row = keep_row").select(F.col("row").alias(row))
-    return rows.join(stay, row, "left_semi").drop(row)
-
+    written, row = common.numbered_files(docs, "numbered")
+    return common.kept_rows(written, row, groups(written, row).filter("row = keep_row").select("row"))

@@ -2,6 +2,11 @@
 
 Every stage but the last returns the columns of ``documents`` for the rows that it keeps; the last returns a row for each
 piece of a document with its place in a sequence.
+
+In every stage a null text counts as empty, texts are taken whole whatever their length, and further columns stay, whatever
+their names. Empty texts are one group for either de-duplication, contain no item, and are packed as their end id. Rows
+that share a doc_id are rows of their own; of equal texts that tie in length and doc_id one stays, and a null doc_id comes
+after all others. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ def keep_one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, resemblance 0.8 or more) that with the smallest doc_id."""
+    """Of each group of near-duplicates (fingerprints of three-word shingles, 2 bits) that with the smallest doc_id."""
     return simhash.deduplicate(docs)
 
 

@@ -10,14 +10,8 @@ A bucket of more than ``CHUNK`` fingerprints is split into chunks that are compa
 that no task holds a whole large bucket; for ``groups``, equal fingerprints count once from the start. A group yields a
 spanning forest of its links, not all of them.
 
-``deduplicate`` looks further, for texts whose five-word shingles have a resemblance of 0.8 or more: it compares the
-fingerprints within a wider radius and verifies every pair within it on the shingles, unless verified links join the two
-already. All pairs of a small bucket are rows. Of a large one the first rows are each fingerprint with its nearest and the
-bucket's forest; then its crowds (parts that the radius joins up) of which these links left several components are
-compared as a whole, by shared shingles, and only verified links become a forest. Texts count once only if both their
-fingerprint and their set of shingles are equal; one frequent shingle can give unlike texts one fingerprint, and these are
-verified like any others. The radius is beyond what the buckets
-guarantee, so such pairs meet with a chance that falls with their distance.
+``deduplicate`` keeps of each group the row with the smallest doc_id. Its bar is the bit distance alone, so texts of one
+frequent shingle (whose hash is then their fingerprint) are one group, as in ``groups``.
 
 Null or blank text: fingerprint zero. Null doc_id: takes part, and names no component unless all of it is null. Repeated
 rows: each has its own row. Empty table: no rows.
@@ -99,28 +93,6 @@ def fingerprints(docs: DataFrame, words: int = WORDS, row: str | None = None) ->
     return rows.mapInArrow(marked, "row long, doc_id long, fp long")
 
 
-def shingle_hashes(text: str, words: int) -> np.ndarray:
-    """The different shingles of a text as sorted 64-bit hashes."""
-    parts = shingles(text, words)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), dtype=np.uint64, count=len(parts)))
-
-
-def node_prints(docs: DataFrame, words: int, shingle: int, row: str) -> DataFrame:
-    """``row, doc_id, fp, node``: node is a digest of the fingerprint and the set of shingles of ``shingle`` words."""
-    rows = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints, nodes = [], []
-            for text in common.texts_of(batch, "text"):
-                prints.append(fingerprint(text, words))
-                nodes.append(xxhash.xxh3_64_intdigest(shingle_hashes(text, shingle).tobytes(), prints[-1]))
-            found = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (prints, nodes)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], ["row", "doc_id", "fp", "node"])
-
-    return rows.mapInArrow(marked, "row long, doc_id long, fp long, node long")
-
-
 # ---- comparison
 
 
@@ -172,24 +144,14 @@ def neighbours(values: np.ndarray, radius: int, rows: slice) -> tuple[np.ndarray
     return index, counters, over | ~lanes | own_lane
 
 
-def bucket_links(values: np.ndarray, radius: int, nearest: bool = False) -> list[tuple[int, int]]:
-    """Index pairs that join up all values within ``radius`` of each other; with ``nearest``, also each one's nearest."""
+def bucket_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Index pairs that join up all values within ``radius`` of each other: a forest, one pair for each value at most."""
     n, out = len(values), []
     near: dict[int, np.ndarray] = {}
     for first in range(0, n, 1024):
         index, counters, over = neighbours(values, radius, slice(first, min(n, first + 1024)))
-        if not len(index):
-            continue
-        linked = ~beyond(counters, over, radius)
-        near.update(zip(index.tolist(), linked))
-        if nearest:
-            found = np.zeros(len(index), dtype=bool)
-            for distance in range(radius + 1):
-                lanes = ~beyond(counters, over, distance)
-                fresh = np.flatnonzero(lanes.any(axis=1) & ~found)
-                found[fresh] = True
-                bits = np.unpackbits(lanes[fresh].view(np.uint8), axis=1, bitorder="little")
-                out += zip(index[fresh].tolist(), bits.argmax(axis=1).tolist())
+        if len(index):
+            near.update(zip(index.tolist(), ~beyond(counters, over, radius)))
     unseen = np.zeros(-(-n // 64) * 64, dtype=np.uint8)
     unseen[list(near)] = 1
     unseen = np.packbits(unseen, bitorder="little").view(np.uint64)
@@ -233,46 +195,30 @@ SMALL = 32
 
 def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, equal: int = EQUAL, chunk: int = CHUNK) -> DataFrame:
     """``a, b``: links between the different fingerprints of ``fps`` (column fp, staged) that keep their components."""
-    return searched(fps.select("fp", F.col("fp").alias("node")), radius, blocks, equal, chunk).select("a", "b")
-
-
-def searched(nodes: DataFrame, radius: int, blocks: int, equal: int, chunk: int = CHUNK, crowds: bool = False) -> DataFrame:
-    """``a, b, crowd``: links between the nodes (``fp, node``, staged). With ``crowds``, also each one's nearest, and rows
-    without b: the members ``a`` of every part of three or more in a large bucket that the links join up, so that two nodes
-    within the radius are linked or in one crowd. A crowd that several buckets have is named alike."""
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     bits = [((1 << edges[k + 1]) - 1) ^ ((1 << edges[k]) - 1) for k in range(blocks)]
     masks = [sum(some) for some in combinations(bits, equal)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     kinds = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v")) for t, m in enumerate(masks)])
-    keyed = nodes.select("fp", "node", F.explode(kinds).alias("k")).select("fp", "node", "k.t", "k.v")
+    keyed = fps.select("fp", F.explode(kinds).alias("k")).select("fp", "k.t", "k.v")
     sizes = common.stage(keyed.groupBy("t", "v").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     parts = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
+    own = F.pmod(F.xxhash64("fp"), F.col("m")).cast("int")
     others = F.when(F.col("m") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: j != F.col("own")))
     cells = keyed.join(sizes, ["t", "v"]).withColumn("m", parts).withColumn("own", own)
-    cells = cells.select("t", "v", "fp", "node", "own", F.explode(others).alias("other"))
-    cells = cells.select("t", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "node")
+    cells = cells.select("t", "v", "fp", "own", F.explode(others).alias("other"))
+    cells = cells.select("t", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
     key = ["t", "v", "i", "j"]
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cells.repartition(n, *key).sortWithinPartitions(*key)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: np.ndarray | None = None
 
-        def crowds_of(own: np.ndarray, pairs: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, int]]:
-            parts: dict[int, list[int]] = {}
-            for x, least in stars(pairs):
-                parts.setdefault(least, [least]).append(x)
-            for members in parts.values():
-                if len(members) > 2:
-                    held = np.sort(own[members])
-                    yield held, xxhash.xxh64_intdigest(held.tobytes(), SEED)
-
         def pairs_of(rows: np.ndarray) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate([[True], (rows[1:, :4] != rows[:-1, :4]).any(axis=1)]))
             sizes_ = np.diff(np.append(starts, len(rows)))
-            values, found, crowded = rows[:, 4].copy().view(np.uint64), [], []
+            values, found = rows[:, 4].copy().view(np.uint64), []
             is_small = np.repeat(sizes_ <= SMALL, sizes_)
             if is_small.any():
                 at = np.flatnonzero(is_small)
@@ -280,18 +226,11 @@ def searched(nodes: DataFrame, radius: int, blocks: int, equal: int, chunk: int
                 found += [(int(at[x]), int(at[y])) for x, y in small_links(values[at], bucket, radius)]
             for start, size in zip(starts.tolist(), sizes_.tolist()):
                 if size > SMALL:
-                    pairs = bucket_links(values[start : start + size], radius, crowds)
-                    found += [(start + x, start + y) for x, y in pairs]
-                    if crowds:
-                        crowded += crowds_of(rows[start : start + size, 5], pairs)
+                    found += [(start + x, start + y) for x, y in bucket_links(values[start : start + size], radius)]
             index = np.array(found, dtype=np.int64).reshape(-1, 2)
-            ends = np.sort(rows[:, 5][index], axis=1)
+            ends = np.sort(rows[:, 4][index], axis=1)
             ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
-            members = np.concatenate([np.zeros(0, dtype=np.int64), *(held for held, _ in crowded)])
-            names = np.repeat(np.array([name for _, name in crowded], dtype=np.uint64).view(np.int64), [len(held) for held, _ in crowded])
-            a, none = pa.array(np.concatenate([ends[:, 1], members])), pa.nulls(len(members), pa.int64())
-            b, crowd = pa.concat_arrays([pa.array(ends[:, 0]), none]), pa.concat_arrays([pa.nulls(len(ends), pa.int64()), pa.array(names)])
-            return pa.RecordBatch.from_arrays([a, b, crowd], ["a", "b", "crowd"])
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 1]), pa.array(ends[:, 0])], ["a", "b"])
 
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
@@ -307,19 +246,19 @@ def searched(nodes: DataFrame, radius: int, blocks: int, equal: int, chunk: int
         if rest is not None and len(rest):
             yield pairs_of(rest)
 
-    return dealt.mapInArrow(compare, "a long, b long, crowd long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def grouped(marked: DataFrame, found: DataFrame, key: str = "fp") -> DataFrame:
-    """``row, doc_id, fp, component_id, root`` from staged fingerprints and the links between their values of ``key``."""
-    roots = components(found).withColumnRenamed("node", key)
-    nodes = marked.groupBy(key).agg(F.min("doc_id").alias("least"))
-    labelled = nodes.join(roots, key, "left").select(key, "least", F.coalesce("root", key).alias("root"))
+def grouped(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """``row, doc_id, fp, component_id, root`` from staged fingerprints and the links between them."""
+    roots = components(found).withColumnRenamed("node", "fp")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    labelled = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     labelled = common.stage(labelled, "labelled")
     names = common.stage(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     # staged, so that the join of a fingerprint that very many documents have can be split
-    by_key = common.stage(labelled.join(names, "root").select(key, "root", "component_id"), "component-of")
-    return marked.join(by_key, key).select("row", "doc_id", "fp", "component_id", "root")
+    by_key = common.stage(labelled.join(names, "root").select("fp", "root", "component_id"), "component-of")
+    return marked.join(by_key, "fp").select("row", "doc_id", "fp", "component_id", "root")
 
 
 def groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS, equal: int = EQUAL, row: str | None = None) -> DataFrame:
@@ -330,122 +269,10 @@ def groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, blocks: in
     return grouped(marked, links(different, radius, blocks, equal))
 
 
-# ---- near-duplicates of a given resemblance
-
-#: Shingle words and resemblance that are verified; radius and blocks of the search for them.
-SHINGLE, SIMILAR, WIDE, WIDE_BLOCKS, WIDE_EQUAL = 5, 0.8, 11, 8, 2
-
-
-def resemblance(a: str, b: str, words: int = SHINGLE) -> float:
-    """Shared shingles of all shingles of two texts, each counted once."""
-    x, y = set(shingles(a, words)), set(shingles(b, words))
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
-def texts_of_nodes(texts: DataFrame, marked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, text`` of ``nodes``, the text being that of the node's first row; ``texts`` has row and text, dealt by row."""
-    chosen = marked.groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node", "left_semi")
-    return texts.join(chosen, "row").select("node", F.coalesce("text", F.lit("")).alias("text"))
-
-
-def similar(texts: DataFrame, marked: DataFrame, found: DataFrame, words: int = SHINGLE, least: float = SIMILAR) -> DataFrame:
-    """The links of ``found`` (staged) whose texts resemble each other."""
-    ends = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node"))).distinct()
-    read = common.stage(texts_of_nodes(texts, marked, ends), "linked-texts")
-    pairs = found.join(read.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    pairs = pairs.join(read.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [resemblance(x, y, words) >= least for x, y in zip(common.texts_of(batch, "x"), common.texts_of(batch, "y"))]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.mapInArrow(verify, "a long, b long")
-
-
-def resembling(sets: list[np.ndarray], roots: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Index pairs that join up all sets that resemble each other, those of equal ``roots`` being joined already."""
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    different, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    # the owners of each shingle, one shingle after another
-    owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
-    counts = np.bincount(ids, minlength=len(different))
-    starts, firsts = np.cumsum(counts) - counts, np.cumsum(sizes) - sizes
-    _, joined = np.unique(roots, return_inverse=True)
-    # two of the largest are joined, so every other pair has an end outside it
-    outside, out = np.flatnonzero(joined != np.bincount(joined).argmax()), []
-    for x in outside.tolist():
-        apart = joined != joined[x]
-        if not apart.any():
-            continue
-        own = ids[firsts[x] : firsts[x] + sizes[x]]
-        shared = np.bincount(owners[common.ragged(starts[own], counts[own])], minlength=len(sets))
-        for y in np.flatnonzero(apart & (shared / np.maximum(sizes[x] + sizes - shared, 1) >= least)).tolist():
-            if joined[y] != joined[x]:
-                out.append((x, y))
-                joined[joined == joined[y]] = joined[x]
-    return out
-
-
-#: Members of a crowd whose shingle sets meet in one group (twice as many in a split crowd).
-CROWD = 512
-
-
-def crowd_links(texts: DataFrame, marked: DataFrame, crowds: DataFrame, roots: DataFrame, words: int = SHINGLE, least: float = SIMILAR, chunk: int = CROWD) -> DataFrame:
-    """``a, b``: links between the members of ``crowds`` (crowd, node; staged) that resemble each other, where ``roots``
-    (node, root; staged) does not join them already."""
-    n = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = common.stage(crowds.join(roots, "node", "left").select("crowd", "node", F.coalesce("root", "node").alias("root")), "members")
-    sizes = members.groupBy("crowd").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = common.stage(sizes.filter("low < high").select("crowd", F.ceil(F.col("n") / chunk).cast("int").alias("m")), "open-crowds")
-    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
-    others = F.when(F.col("m") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: j != F.col("own")))
-    cells = members.join(sizes, "crowd").withColumn("own", own).select("crowd", "node", "root", "own", F.explode(others).alias("other"))
-    cells = common.stage(cells.select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root"), "crowd-cells")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [shingle_hashes(t, words).tobytes() for t in common.texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], ["node", "hashes"])
-
-    sets = common.stage(texts_of_nodes(texts, marked, cells.select("node").distinct()).mapInArrow(hashed, "node long, hashes binary"), "shingle-sets")
-    key = ["crowd", "i", "j"]
-    dealt = cells.join(sets, "node").select(*key, "node", "root", "hashes").repartition(n, *key).sortWithinPartitions(*key)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def pairs_of() -> pa.RecordBatch:
-            found = resembling([np.frombuffer(x, dtype=np.uint64) for *_, x in held], np.array([r for _, r, _ in held]), least)
-            ends = [(held[x][0], held[y][0]) for x, y in found]
-            return pa.RecordBatch.from_arrays([pa.array([max(e) for e in ends], pa.int64()), pa.array([min(e) for e in ends], pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            for *cell, node, root, hashes in zip(*(batch.column(k).to_pylist() for k in range(5)), batch.column(5)):
-                if cell != at:
-                    if held:
-                        yield pairs_of()
-                    at, held = cell, []
-                held.append((node, root, hashes.as_py()))
-        if held:
-            yield pairs_of()
-
-    return dealt.mapInArrow(verify, "a long, b long").distinct()
-
-
-def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = WIDE, blocks: int = WIDE_BLOCKS, equal: int = WIDE_EQUAL, shingle: int = SHINGLE, least: float = SIMILAR) -> DataFrame:
+def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS, equal: int = EQUAL) -> DataFrame:
     """The rows of ``docs``, with all their columns: of each group of near-duplicates the one with the smallest doc_id."""
-    row = common.free_name(docs, "row")
-    rows = common.dealt(common.numbered(docs, row), row, "numbered")
-    texts = rows.select(F.col(row).alias("row"), "text")
-    marked = common.stage(node_prints(rows, words, shingle, row), "fingerprints")
-    different = common.stage(marked.select("fp", "node").distinct(), "different-texts")
-    found = common.stage(searched(different, radius, blocks, equal, crowds=True), "near-links")
-    first = similar(texts, marked, found.filter("b is not null").select("a", "b"), shingle, least)
-    roots = common.stage(components(first), "roots")
-    crowds = found.filter("b is null").select("crowd", F.col("a").alias("node"))
-    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(crowd_links(texts, marked, crowds, roots, shingle, least))
-    members = grouped(marked, joined, "node")
+    written, row = common.numbered_files(docs, "numbered")
+    members = groups(written, words, radius, blocks, equal, row)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    stay = members.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.row").alias(row))
-    return rows.join(stay, row, "left_semi").drop(row)
+    stay = members.groupBy("root").agg(F.min(rank).alias("best")).select("best.row")
+    return common.kept_rows(written, row, stay)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import compare
 from tests.llm import helpers as h
-from termpulse.llm import decontaminate, exact, queries, simhash, substring
+from termpulse.llm import common, decontaminate, exact, queries, simhash, substring
 from termpulse.llm.components import components
 
 
@@ -186,50 +186,6 @@ def test_buckets_split_into_chunks_lose_no_link(spark):
     assert {v: roots.get(v, v) for v in parent} == {v: h.root_of(parent, v) for v in parent}
 
 
-def edited_copies(n, edits):
-    """A text of 300 words, then copies in which ``edits`` spread words are replaced."""
-    rng, base = np.random.default_rng(n + edits), [f"w{k}" for k in np.random.default_rng(5).integers(10**6, size=300)]
-    out = [" ".join(base)]
-    for d in range(n):
-        words = list(base)
-        for k in range(edits):
-            words[int((k + 0.5) * 300 / edits + rng.integers(-5, 6))] = f"n{d}_{k}"
-        out.append(" ".join(words))
-    return out
-
-
-def test_large_buckets_verify_every_pair_within_the_radius(spark):
-    """Copies resemble their original but not each other, so only the pairs with it are links."""
-    texts = edited_copies(400, 6)
-    prints = [plain_fingerprint(t) for t in texts]
-    blocks = [{k for k in range(8) if not (p ^ prints[0]) >> 8 * k & 255} for p in prints]
-    met = [d for d in range(1, 401) if len(blocks[d]) >= 2 and (prints[d] ^ prints[0]).bit_count() <= simhash.WIDE]
-    assert len(met) > 200 and all(simhash.resemblance(texts[0], texts[d]) >= 0.8 for d in met)
-    kept = {r.doc_id for r in simhash.deduplicate(h.frame(spark, [(d, t, "en", "a", 1) for d, t in enumerate(texts)])).collect()}
-    assert 0 in kept and not kept & set(met)
-
-
-@pytest.mark.parametrize("chunk", [7, 512])
-def test_crowds_in_chunks_lose_no_link(spark, chunk):
-    texts = edited_copies(60, 6)
-    marked = spark.createDataFrame([(d, d, d, d) for d in range(61)], "row long, doc_id long, fp long, node long")
-    crowds = spark.createDataFrame([(9, d) for d in range(61)], "crowd long, node long")
-    roots = spark.createDataFrame([(d, 1) for d in range(2, 30)], "node long, root long")
-    found = simhash.crowd_links(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), marked, crowds, roots, chunk=chunk)
-    joined = found.union(roots)
-    assert {r.root for r in components(joined).collect()} == {0} and components(joined).count() == 60
-
-
-@pytest.mark.parametrize("n", [6, 50])
-def test_equal_fingerprints_are_verified(spark, n):
-    """One shingle that makes over half of a text is the fingerprint; only texts that resemble each other are one."""
-    texts = ["- " * 400 + " ".join(f"x{k}_{i}" for i in range(100)) for k in range(n)]
-    texts += [texts[0].upper(), texts[1] + " end"]
-    assert len({plain_fingerprint(t) for t in texts}) == 1
-    kept = sorted(r.doc_id for r in simhash.deduplicate(h.frame(spark, [(d, t, "en", "a", 1) for d, t in enumerate(texts)])).collect())
-    assert kept == list(range(n))
-
-
 @pytest.mark.parametrize("radius", [0, 1, 2, 5, 11])
 def test_bit_sliced_links(radius):
     rng = np.random.default_rng(radius)
@@ -238,7 +194,7 @@ def test_bit_sliced_links(radius):
     near = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
     one = simhash.small_links(values, np.zeros(len(values), dtype=np.int64), radius)
     assert sorted(one) == [(a, b) for a, b in zip(*np.nonzero(near)) if a < b]
-    assert all(near[a, b] and a != b for a, b in simhash.bucket_links(values, radius, True))
+    assert all(near[a, b] and a != b for a, b in simhash.bucket_links(values, radius))
 
 
 def test_components_of_a_chain_a_star_and_a_pair(spark):
@@ -248,15 +204,31 @@ def test_components_of_a_chain_a_star_and_a_pair(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_near_dedup_keeps_one_of_each_group(spark):
-    rows = [(d, t, "en", "a", 1) for d, t in near_rows()]
-    kept = simhash.deduplicate(h.frame(spark, rows, clashing=True)).collect()
-    ids = [r.doc_id for r in kept]
-    assert sum(d is not None and d < 40 and d not in (2, 3, 4) for d in ids) <= 6 and {100 + d for d in range(30)} <= set(ids)
-    assert all(r.fp == "kept" for r in kept)
+def test_near_dedup_keeps_the_least_of_each_group(spark):
+    """Null ids, ties, repeated rows, empty and very long texts, and clashing names."""
+    # ids of the edge rows stand for themselves alone
+    near = [(d if k >= 70 else 1000 + d, t) for k, (d, t) in enumerate(near_rows())]
+    kept = simhash.deduplicate(h.frame(spark, [(d, t, "en", "a", 1) for d, t in near], clashing=True)).collect()
+    groups = plain_components(near, 2)
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({least for _, _, least in groups if least is not None}) and len(kept) > 35
+    # a group without any id is named by none, and one of its rows stays
+    assert sum(r.doc_id is None for r in kept) == len({f for d, f, least in groups if least is None})
+    assert all(r.fp == "kept" and r.row == "kept" for r in kept)
     assert simhash.deduplicate(h.frame(spark, [])).collect() == []
 
 
+def test_rows_are_kept_in_place(spark):
+    """The written rows meet the numbers that stay without a shuffle of theirs; no table is left in the catalog."""
+    df = spark.range(100_000).repartition(3).selectExpr("id", "cast(id % 7 as string) AS row", "id * 2 AS task")
+    written, row = common.numbered_files(df, "numbered")
+    stay = written.filter("id % 5 = 0 or id > 99000").select(F.col(row).alias("row"))
+    kept = common.kept_rows(written, row, stay)
+    assert kept.columns == ["id", "row", "task"]
+    assert sorted(r.id for r in kept.collect()) == [k for k in range(100_000) if k % 5 == 0 or k > 99_000]
+    assert common.kept_rows(written, row, stay.limit(0)).collect() == []
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("numbered")]
+
+
 # ---- decontamination
 
 ITEMS = [(1, h.prose(70, 30)), (2, None), (3, ""), (4, "only three words"), (1, h.prose(70, 30)), (None, h.prose(71, 14)), (6, h.prose(72, 300))]

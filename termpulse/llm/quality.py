@@ -202,16 +202,21 @@ def learn(values: np.ndarray, y: np.ndarray, names: tuple[str, ...] = STATISTICS
 # ---- jobs
 
 
-def fit(statistics_rows: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
-    """The model from staged statistics (with doc_id) and ``labels`` (doc_id, label)."""
+def learned_from(labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, label, _order`` (staged): the labels that a model is fitted on, a few more than ``sample`` where there are
+    more. Two labels at most for a doc_id."""
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null")
-    # two labels at most and one row of statistics for a doc_id, however often it is repeated
     chosen = common.stage(chosen.distinct(), "labels")
-    # rows chosen by a hash, a few more than needed, so that the driver gets no more than it uses
+    # chosen by a hash, so that the driver gets no more than it uses
     below = int((1 << 40) * min(1.0, 1.2 * sample / max(chosen.count(), 1)))
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    own = statistics_rows.filter(order < below).groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s"))
-    rows = own.join(chosen.withColumn("_order", order), "doc_id").select("s.*", "label", "_order").toPandas()
+    return chosen.withColumn("_order", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).filter(F.col("_order") < below)
+
+
+def fit(statistics_rows: DataFrame, chosen: DataFrame, sample: int = SAMPLE) -> Model:
+    """The model from statistics (with doc_id) and ``learned_from`` labels."""
+    # one row of statistics for a doc_id, however often it is repeated
+    own = statistics_rows.join(chosen.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    rows = own.join(chosen, "doc_id").select("s.*", "label", "_order").toPandas()
     rows = rows.sort_values(["_order", *STATISTICS, "label"], kind="stable").head(sample)
     return learn(rows[list(STATISTICS)].to_numpy(float).reshape(-1, len(STATISTICS)), rows["label"].to_numpy(float))
 
@@ -224,7 +229,7 @@ def training(labels: DataFrame) -> DataFrame:
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
     rows = common.stage(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "statistics")
-    score = fit(rows, training(labels)).score()
+    score = fit(rows, learned_from(training(labels))).score()
     return rows.select("doc_id", (common.fold(F.col("doc_id"), 3) == 1).alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
@@ -233,10 +238,12 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the model predicts to be good.
 
-    The model is fitted on staged statistics; then every row is scored in one pass over the texts.
+    Only labelled rows are measured for the fit; then every row is scored in one pass over the texts.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = fit(common.stage(measured(texts), "statistics"), training(labels))
+    chosen = learned_from(training(labels))
+    # at most a few more than SAMPLE ids
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    model = fit(measured(texts), chosen)
     prefix = "_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix += "_"

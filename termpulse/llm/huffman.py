@@ -152,7 +152,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, by_word: bool = Tr
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer, by_word)
         for batch in batches:
-            ids = [np.append(encoder.encode(t), np.uint32(end_id)).astype(width).tobytes() for t in common.texts_of(batch, "text")]
+            ids = [np.append(own, np.uint32(end_id)).astype(width).tobytes() for own in encoder.encode_all(common.texts_of(batch, "text"))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, type=pa.binary())], ["doc_id", "ids"])
 
     return common.documents(docs).mapInArrow(encode, "doc_id long, ids binary")

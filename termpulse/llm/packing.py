@@ -86,8 +86,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAP
         encoder = tokens.encoder(tokenizer, by_word)
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), common.texts_of(batch, "text")):
-                ids = np.append(encoder.encode(text), np.uint32(end_id)).astype("<u4")
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode_all(common.texts_of(batch, "text"))):
+                ids = np.append(own, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     for column, value in zip(columns, (doc_id, k, start, len(part), part.tobytes())):

@@ -4,19 +4,39 @@ from __future__ import annotations
 
 import json
 import os
-import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 
 from termpulse.llm.common import ragged
 
-#: Words a worker remembers; when full, it starts anew. About 170 bytes a word.
-REMEMBERED_WORDS = 1_200_000
-#: Words encoded in one call.
-JOINED = 500
-#: Signs at the end of a word, after an unaccented letter. The apostrophe, which may begin a part of its own, is left out.
-CLOSING = re.compile(rb"(?<=[a-z])([!-&(-/:;=?@\[-`{}~]+)(?=[\x20\x09-\x0D])")
+#: Bytes of words and their ids that a worker remembers; when full, it starts anew. A word costs about 170 besides its own.
+REMEMBERED, WORD = 200 << 20, 170
+#: Words encoded in one call, and characters of the texts whose new words are encoded together.
+JOINED, TOGETHER = 500, 1 << 21
+#: Signs that may close a word, after an unaccented letter. The apostrophe, which may begin a part of its own, is left out.
+SIGNS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+LETTER, SIGN, SPACE = 1, 2, 3
+KINDS = np.zeros(256, dtype=np.uint8)
+for kind, octets in ((LETTER, b"abcdefghijklmnopqrstuvwxyz"), (SIGN, SIGNS), (SPACE, b" \t\n\x0b\x0c\r")):
+    KINDS[list(octets)] = kind
+
+
+def signs_apart(raw: bytes) -> bytes:
+    """A space before each run of signs between an unaccented letter and white space."""
+    octets = np.frombuffer(raw, dtype=np.uint8)
+    kinds = KINDS[octets]
+    sign = kinds == SIGN
+    starts = np.flatnonzero(sign[1:] & (kinds[:-1] == LETTER)) + 1
+    if not len(starts):
+        return raw
+    last = np.flatnonzero(sign[:-1] & ~sign[1:])
+    # a run that ends the text is not followed by white space
+    run = np.searchsorted(last, starts)
+    starts = starts[run < len(last)]
+    closing = kinds[last[run[: len(starts)]] + 1] == SPACE
+    return np.insert(octets, starts[closing], 32).tobytes()
 
 
 class _Numbers(dict):
@@ -40,7 +60,7 @@ class Encoder:
     whole text.
     """
 
-    def __init__(self, path: str, by_word: bool = True, remembered: int = REMEMBERED_WORDS):
+    def __init__(self, path: str, by_word: bool = True, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -59,7 +79,7 @@ class Encoder:
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.first = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
+        self.used = self.bytes = 0
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -67,6 +87,7 @@ class Encoder:
     def _learn(self) -> None:
         """Encode the words that are new."""
         texts, first_new = [w.decode("utf-8") for w in self.known.new], len(self.known) - len(self.known.new)
+        self.bytes += sum(map(len, self.known.new)) + WORD * len(self.known.new)
         self.known.new = []
         letters = [self.ends is not None and w.isalpha() for w in texts]
         joined = [k for k, x in enumerate(letters) if x]
@@ -95,21 +116,39 @@ class Encoder:
         self.first[numbers] = self.used + np.cumsum(counts) - counts
         self.count[numbers] = counts
         self.used += len(ids)
+        self.bytes += 4 * len(ids)
 
-    def encode(self, text: str) -> np.ndarray:
-        if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    def _index(self, text: str) -> np.ndarray:
+        """The numbers of a text's words."""
         raw = text.encode("utf-8")
         # special strings must keep their case and signs to be told from others
-        words = (raw if b"<|" in raw else CLOSING.sub(rb" \1", raw.lower())).split()
-        if not words:
-            return np.zeros(0, dtype=np.uint32)
-        if len(self.known) > self.remembered:
-            self._forget()
-        index = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        if self.known.new:
-            self._learn()
-        return self.flat[ragged(self.first[index], self.count[index])]
+        words = (raw if b"<|" in raw else signs_apart(raw.lower())).split()
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. New words of texts of ``TOGETHER`` characters are encoded together."""
+        if not self.by_word:
+            yield from (np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.uint32) for t in texts)
+            return
+        held, size = [], 0
+
+        def found() -> Iterator[np.ndarray]:
+            if self.known.new:
+                self._learn()
+            yield from (self.flat[ragged(self.first[index], self.count[index])] for index in held)
+            if self.bytes > self.remembered:
+                self._forget()
+
+        for text in texts:
+            held.append(self._index(text))
+            size += len(text)
+            if size >= TOGETHER:
+                yield from found()
+                held, size = [], 0
+        yield from found()
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=2)

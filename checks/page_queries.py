@@ -68,7 +68,12 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outbound_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = links.outbound_links(pages(spark, sf_dir).select("page_id", "html"), F.col("html"))
+    """Links of pages whose addresses are made absolute; every page names each link once more with a tracking parameter."""
+    p = pages(spark, sf_dir)
+    root = F.regexp_extract("url", "^(https?://[^/?#]*)", 1)
+    own = F.replace(F.col("html"), F.lit('href="/'), F.concat(F.lit('href="'), root, F.lit("/")))
+    marked = F.regexp_replace(own, r'href="(https?://[^"?#]*)"', 'href="$1?utm_source=again"')
+    found = links.outbound_links(p.select("page_id", F.concat(own, marked).alias("html")), F.col("html"))
     return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "canonical")
 
 

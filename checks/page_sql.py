@@ -86,8 +86,13 @@ marked AS (SELECT page_id, regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</titl
   string_split(regexp_replace(html, '{TAG}', chr(2), 'g'), chr(2)) AS nodes FROM shown)""") + f"""
 SELECT page_id, {stripped(plain('title'))} AS title,
   array_to_string(list_filter(list_transform(nodes, lambda n: {stripped(plain('n'))}), lambda n: n <> ''), chr(10)) AS text FROM marked""",
-    "outbound_links": with_(SHOWN, HREFS) + """ SELECT page_id, pos, href, CAST(NULL AS VARCHAR) AS canonical FROM (
-  SELECT *, row_number() OVER (PARTITION BY page_id, href ORDER BY pos) AS rn FROM links) WHERE rn = 1""",
+    "outbound_links": with_("""
+own AS (SELECT page_id, url, replace(html, 'href="/', 'href="' || regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/') AS html FROM pages)""",
+        SHOWN.replace("FROM pages", """FROM (
+  SELECT page_id, url, html || regexp_replace(html, 'href="(https?://[^"?#]*)"', 'href="\\1?utm_source=again"', 'g') AS html FROM own)"""), HREFS, f"""
+keyed AS (SELECT page_id, pos, href, {canonical('href')} AS canonical FROM links)""")
+    + """ SELECT page_id, pos, href, canonical FROM (
+  SELECT *, row_number() OVER (PARTITION BY page_id, canonical ORDER BY pos) AS rn FROM keyed) WHERE rn = 1""",
     "archive_issue_urls": with_(SHOWN, HREFS, """
 full_links AS (SELECT page_id, pos, regexp_extract(url, '^(https?://[^/?#]*)', 1) || href AS url FROM links WHERE href LIKE '/t%'),
 keyed AS (SELECT page_id, pos, """ + canonical("url") + """ AS canonical FROM full_links)""")

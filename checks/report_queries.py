@@ -17,7 +17,7 @@ from termpulse.operators import daystats, evidence, scoring
 from termpulse.plans import api, jobs, presentation
 from termpulse.session import shared_dir, stage
 from termpulse.sources import export, tables
-from termpulse.streaming import daily
+from termpulse.streaming import deltas
 
 AS_OF = dt.date.fromisoformat(t.AS_OF)
 
@@ -264,14 +264,58 @@ def processed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.processed_days(spark, root).select("date", "document_count")
 
 
-def stream_daily_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as a stream of landed items; every touched day is rebuilt."""
+#: Loads of the stream and the day of the first; each lands a day later.
+LOADS, FIRST_LOAD = 3, "2024-01-28"
+
+
+def _load(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """Load ``k``: a third of the documents, many of them late for their day; some twice, and copies of earlier URLs."""
+    docs = t.table(spark, sf_dir, "documents")
+    own = docs.where(F.col("doc_id") % LOADS == k)
+    twins = own.where(F.col("doc_id") % 7 == 0)
+    again = docs.where((F.col("doc_id") % LOADS < k) & (F.col("doc_id") % 5 == 0))
+    landed_at = F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_LOAD), "yyyy-MM-dd") + k * 86400 + 6 * 3600)
+
+    def items(rows: DataFrame, mark: str, rank: int) -> DataFrame:
+        item = t.as_raw_items(rows).drop("article_id", "article_key", "date")
+        other = {"external_id": F.concat(F.lit(mark), "external_id"), "content_text": F.concat(F.lit(f"{mark} "), "content_text")} if mark else {}
+        order = F.array(F.lit(rank).cast("bigint"), F.col("external_id").cast("bigint"))
+        return item.withColumn("item_ord", order).withColumns(other)
+
+    both = items(twins, "twin", 0).withColumn("item_ord", F.array(F.lit(9).cast("bigint"))).unionByName(items(own, "", 1))
+    return both.unionByName(items(again, "again", 0)).withColumn("landed_at", landed_at)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, one_run: bool) -> str:
+    """A table folder fed by the stream: all loads as micro-batches of one run, or a restart from the checkpoint before each."""
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    schema = t.table(spark, sf_dir, "documents").schema
-    docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents*.parquet")
-    items = t.as_raw_items(docs).drop("article_id", "article_key", "date").withColumn("item_ord", F.array(F.col("external_id").cast("bigint")))
-    daily.start(items, root, _settings(), f"{root}/checkpoint", available_now=True).awaitTermination()
-    return tables.read(spark, root, "terms").select("date", "term", "tf", "df", F.array_join("article_ids", ",").alias("article_ids"))
+    schema = _load(spark, sf_dir, 0).schema
+    for k in range(LOADS):
+        _load(spark, sf_dir, k).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        if not one_run or k == LOADS - 1:
+            # a load is one file, and a micro-batch
+            items = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+            deltas.start(items, root, _settings(), f"{root}/checkpoint", available_now=True).awaitTermination()
+    return root
+
+
+def stream_daily_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats after three micro-batches with late items and items of the next days: sums of what each batch adds."""
+    terms = tables.read(spark, _streamed(spark, sf_dir, True), "terms")
+    return terms.select("date", "term", "tf", "df", F.array_join("article_ids", ",").alias("article_ids"), F.array_join("authors", ",").alias("authors"))
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files with a stop and a restart from the checkpoint after each, and the batches merged into one at the end."""
+    root = _streamed(spark, sf_dir, False)
+    deltas.compact(spark, root, _settings())
+    terms, headers = deltas.day_stats(spark, root, _settings())
+    return terms.join(headers, "date").select("date", "term", "tf", "df", F.array_join("article_ids", ",").alias("article_ids"), "document_count")
+
+
+def stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article that each URL of the stream leads to, and the day of its load."""
+    return tables.url_cache(spark, _streamed(spark, sf_dir, True)).select("url_canonical", "article_id", "first_seen_date")
 
 
 QUERIES = {
@@ -280,6 +324,6 @@ QUERIES = {
         api_articles, api_terms, api_elections, trending, term_first_seen, adhoc_sql, export_roundtrip, evidence_join,
         day_page_articles, prev_next_day, feed_rows, rerank_override, rerank_prompt, blurb_prompt, parse_rerank_replies,
         parse_blurb_replies, attach_blurbs, mixed_day_terms, ingest_metrics, latest_elected, migrate_buckets,
-        reprocess_range, processed_days, stream_daily_terms,
+        reprocess_range, processed_days, stream_daily_terms, stream_restart, stream_first_wins,
     )
 }

@@ -18,6 +18,9 @@ evid AS (
 BUCKETED = (DOCS, f"bucketed AS (SELECT * REPLACE ({BUCKET} AS date) FROM docs)")
 ON_BUCKETS = tuple(part.replace("FROM docs", "FROM bucketed") for part in (TOKENS, DAYS))
 TERMS = with_(*CORPUS, totals())
+# A third of the documents lands on each of three days; an implausible date is replaced by that of the landing.
+LANDED = "CAST(DATE '2024-01-28' + CAST(doc_id % 3 AS INTEGER) AS DATE)"
+STREAMED = (DOCS, f"bucketed AS (SELECT * REPLACE ({BUCKET.replace(f"DATE '{t.AS_OF}'", LANDED)} AS date) FROM docs)", *ON_BUCKETS)
 FORM = "(conv_id + turn) % 4"
 EDGES = r"^[\s\x{a0}]+|[\s\x{a0}]+$"
 
@@ -99,6 +102,10 @@ UNION ALL SELECT article_id, kind, date FROM bucketed WHERE kind = 'tweet' AND d
 SELECT t.date, t.term, t.tf, t.df, i.article_ids, r.term AS word, round(round(r.score, 6), 4) AS score
 FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term JOIN ranked r ON r.date = t.date AND r.rank = 1""",
     "processed_days": with_(*BUCKETED, *ON_BUCKETS) + " SELECT date, document_count FROM days",
-    "stream_daily_terms": with_(*BUCKETED, *ON_BUCKETS, totals(), lists(50, 10))
-    + " SELECT t.date, t.term, t.tf, t.df, i.article_ids FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term",
+    "stream_daily_terms": with_(*STREAMED, totals(), lists(50, 10)) + """
+SELECT t.date, t.term, t.tf, t.df, i.article_ids, COALESCE(a.authors, '') AS authors FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term
+LEFT JOIN auth a ON a.date = t.date AND a.term = t.term""",
+    "stream_restart": with_(*STREAMED, totals(), lists(50, 10)) + """
+SELECT t.date, t.term, t.tf, t.df, i.article_ids, t.document_count FROM totals t JOIN ids i ON i.date = t.date AND i.term = t.term""",
+    "stream_first_wins": with_(DOCS) + f" SELECT url AS url_canonical, article_id, {LANDED} AS first_seen_date FROM docs",
 }

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as t
 from termpulse.functions import article as art
+from termpulse.operators.places import placed
 from termpulse.plans import jobs
-from termpulse.session import shared_dir
+from termpulse.session import shared_dir, stage
 from termpulse.sources import catalog, feeds, imports, registry, tables, tweets
 from termpulse.sources.archive import sitemap_urls
 from termpulse.sources.landed import Landed
@@ -48,8 +49,14 @@ def _landed(spark: SparkSession, sources: list[dict], **parts: DataFrame) -> Lan
     return Landed(sources=catalog.sources_frame(spark, sources), as_of=NOW, max_items=ALL, **frames)
 
 
-def _blogs() -> list[dict]:
-    return [{"id": f"src{k}", "type": "rss", "name": f"Blog {k}", "feed": "f"} for k in range(20)]
+def _names(spark: SparkSession, sf_dir: str, column: str = "source", name: str = "documents") -> list[str]:
+    """The sources of a table: a catalog's worth of names."""
+    rows = t.table(spark, sf_dir, name).where(F.col(column).isNotNull()).select(column).distinct()
+    return sorted(r[0] for r in rows.collect())
+
+
+def _blogs(spark: SparkSession, sf_dir: str) -> list[dict]:
+    return [{"id": s, "type": "rss", "name": f"Blog {s[3:]}", "feed": "f"} for s in _names(spark, sf_dir)]
 
 
 def _feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +80,12 @@ def _feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of landed feeds with the text inlined in them, in the order of their source."""
-    items = feeds.rss_items(_landed(spark, _blogs(), feeds=_feed_files(spark, sf_dir)))
-    place = F.row_number().over(Window.partitionBy("source_id").orderBy("item_ord"))
-    rows = items.withColumn("place", place.cast("long"))
-    return rows.select("place", "source_id", "external_id", "url", "url_canonical", "title", "author", "published_at", F.sha2("content_text", 256).alias("text_sha256"), "kind")
+    items = feeds.rss_items(_landed(spark, _blogs(spark, sf_dir), feeds=_feed_files(spark, sf_dir)))
+    # texts are hashed before their rows are placed
+    columns = ("source_id", "item_ord", "external_id", "url", "url_canonical", "title", "author", "published_at", "kind")
+    narrow = stage(items.select(*columns, F.sha2("content_text", 256).alias("text_sha256")), "hashed-items")
+    found = placed(narrow, ["source_id"], ["item_ord", "external_id"])
+    return found.withColumn("place", F.col("place") + 1).drop("item_ord")
 
 
 def atom_newsletter_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +102,7 @@ def atom_newsletter_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     files = d.groupBy("source", F.floor(F.col("doc_id") / (PER_FILE * 20)).alias("n")).agg(F.sort_array(F.collect_list(entry)).alias("e"))
     content = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), F.array_join(F.transform("e", lambda x: x["xml"]), ""), F.lit("</feed>"))
-    sources = [{"id": f"src{k}", "type": "newsletter", "feed": "f"} for k in range(20)]
+    sources = [{"id": s, "type": "newsletter", "feed": "f"} for s in _names(spark, sf_dir)]
     items = feeds.newsletter_items(_landed(spark, sources, feeds=files.select(F.col("source").alias("source_id"), content.alias("content"))))
     return items.select("source_id", "source_type", "external_id", "url", "title", "author", "published_at", F.sha2("content_text", 256).alias("text_sha256"))
 
@@ -108,7 +117,7 @@ def tweet_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     files = c.groupBy("role", F.floor(F.col("conv_id") / 8).alias("n")).agg(F.array_join(F.collect_list(entry), "").alias("e"))
     content = F.concat(F.lit("<rss><channel>"), "e", F.lit("</channel></rss>"))
-    sources = [{"id": r, "type": "twitter", "handle": r, "name": r.upper(), "exclude_replies": True, "min_likes": 9} for r in ("user", "assistant", "system")]
+    sources = [{"id": r, "type": "twitter", "handle": r, "name": r.upper(), "exclude_replies": True, "min_likes": 9} for r in _names(spark, sf_dir, "role", "conversations")]
     items = feeds.tweet_feed_items(_landed(spark, sources, feeds=files.select(F.col("role").alias("source_id"), content.alias("content"))))
     return items.select("source_id", "external_id", "url", "author", "published_at", "kind", F.sha2("content_text", 256).alias("text_sha256"))
 
@@ -116,7 +125,7 @@ def tweet_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources by type: how many items each adapter gives, and the sources that none reads."""
     kinds = ["rss", "newsletter", "podcast", "archive"]
-    sources = [{"id": f"src{k}", "type": kinds[k % 4], "feed": "f"} for k in range(20)]
+    sources = [{"id": s, "type": kinds[k % 4], "feed": "f"} for k, s in enumerate(_names(spark, sf_dir))]
     landed = _landed(spark, sources, feeds=_feed_files(spark, sf_dir))
     given = registry.raw_items(landed).groupBy("source_id", "source_type").agg(F.count(F.lit(1)).alias("n"))
     return given.unionByName(registry.unknown_sources(landed).select("source_id", "source_type", F.lit(0).cast("long").alias("n")))
@@ -127,23 +136,45 @@ def tweet_api_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t.table(spark, sf_dir, "conversations").withColumn("id", F.concat_ws("-", "conv_id", "turn"))
     tweet = F.struct("id", "text", F.lit("2024-01-03T00:00:00.000Z").alias("created_at"), F.struct((F.col("conv_id") % 7).alias("like_count")).alias("public_metrics"))
     files = c.groupBy("role", F.floor(F.col("conv_id") / 8).alias("n")).agg(F.to_json(F.struct(F.collect_list(tweet).alias("data"))).alias("content"))
-    sources = [{"id": r, "type": "twitter", "handle": r, "x_api": True, "min_likes": 3} for r in ("user", "assistant", "system")]
+    sources = [{"id": r, "type": "twitter", "handle": r, "x_api": True, "min_likes": 3} for r in _names(spark, sf_dir, "role", "conversations")]
     items = tweets.tweet_api_items(_landed(spark, sources, api=files.select(F.col("role").alias("source_id"), "content")))
     return items.select("source_id", "external_id", "url", F.sha2("content_text", 256).alias("text_sha256"), "kind", "title")
 
 
+def _bare(url: str = "url") -> Column:
+    return F.substring_index(F.substring_index(url, "#", 1), "?", 1)
+
+
+#: Entries of a sitemap.
+PER_MAP = 50
+
+
+def _sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page URLs in a tree of maps: leaves of fifty pages, two levels of indexes over fifty maps each, and a root.
+
+    Every index of the lower level also names the root, so the tree has cycles.
+    """
+    site, lines = "https://s.example/", t.table(spark, sf_dir, "pages").select(F.col("page_id").alias("n"), _bare().alias("loc"))
+    maps = None
+    for level, (outer, inner) in enumerate((("urlset", "url"), ("sitemapindex", "sitemap"), ("sitemapindex", "sitemap"))):
+        line = F.concat(F.lit(f"<{inner}><loc>"), _xml(F.col("loc")), F.lit(f"</loc></{inner}>"))
+        back = f"<sitemap><loc>{site}sitemap.xml</loc></sitemap>" if level == 1 else ""
+        listed = lines.select(F.floor(F.col("n") / PER_MAP).alias("m"), F.struct("n", line.alias("x")).alias("e")).groupBy("m").agg(F.sort_array(F.collect_list("e")).alias("e"))
+        content = F.concat(F.lit(f"<{outer}>{back}"), F.array_join("e.x", ""), F.lit(f"</{outer}>"))
+        own = listed.select(F.col("m").alias("n"), F.concat(F.lit(f"{site}map-{level}-"), F.col("m").cast("string"), F.lit(".xml")).alias("loc"), content.alias("content"))
+        lines = own.select("n", "loc")
+        maps = own.select("loc", "content") if maps is None else maps.unionByName(own.select("loc", "content"))
+    # one map for every 125,000 pages is named by the root
+    last = F.sort_array(F.collect_list(F.struct("n", F.concat(F.lit("<sitemap><loc>"), "loc", F.lit("</loc></sitemap>")).alias("x"))))
+    root = lines.agg(F.array_join(F.transform(last, lambda e: e["x"]), "").alias("l"))
+    return maps.unionByName(root.select(F.lit(f"{site}sitemap.xml").alias("loc"), F.concat(F.lit("<sitemapindex>"), "l", F.lit("</sitemapindex>")).alias("content")))
+
+
 def sitemap_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page URLs in a tree of sitemaps; those under one path are issues."""
-    p = t.table(spark, sf_dir, "pages").select((F.floor(F.col("page_id") / 50)).alias("n"), "page_id", F.substring_index(F.substring_index("url", "#", 1), "?", 1).alias("url"))
-    line = F.struct("page_id", F.concat(F.lit("<url><loc>"), _xml(F.col("url")), F.lit("</loc></url>")).alias("x"))
-    leaf = p.groupBy("n").agg(F.sort_array(F.collect_list(line)).alias("l")).select(
-        F.concat(F.lit("https://s.example/map-"), F.col("n").cast("string"), F.lit(".xml")).alias("loc"),
-        F.concat(F.lit("<urlset>"), F.array_join(F.transform("l", lambda x: x["x"]), ""), F.lit("</urlset>")).alias("content"),
-    )
-    index = leaf.agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("<sitemap><loc>"), "loc", F.lit("</loc></sitemap>")))), "").alias("l"))
-    index = index.select(F.lit("https://s.example/sitemap.xml").alias("loc"), F.concat(F.lit("<sitemapindex>"), "l", F.lit("</sitemapindex>")).alias("content"))
+    """Page URLs in a tree of sitemaps of four levels with cycles; those under one path are issues."""
     roots = spark.createDataFrame([("mapped", "/en/", "https://s.example/sitemap.xml")], "source_id string, prefix string, loc string")
-    return sitemap_urls(roots, leaf.unionByName(index)).groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("n"))
+    found = sitemap_urls(roots, _sitemaps(spark, sf_dir), depth=None)
+    return found.groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +203,8 @@ def json_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("value"),
     )
-    for k in range(30):
-        day = dt.date(2024, 1, 1) + dt.timedelta(days=k)
-        # one file for each article
-        d.where(F.col("day") == str(day)).select("value").write.option("maxRecordsPerFile", 1).format("text").save(f"{path}/{day}")
+    # one file for each article, all days in one write
+    d.write.partitionBy("day").option("maxRecordsPerFile", 1).format("text").save(path)
     # the writer's own names end in .txt
     raw = imports.read_articles(spark, path, pattern="*.txt")
     return raw.select("article_id", "source_id", "kind", "content_chars", "content_sha256", F.sha2("snippet", 256).alias("snippet_sha256"), F.get("top_terms", F.lit(0))["term"].alias("top_term"), F.get("top_terms", F.lit(0))["tf"].alias("top_tf"), "bucket_date")
@@ -210,7 +239,7 @@ def json_elections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     root = _folder(spark, "ingested")
     settings = jobs.Settings(as_of=dt.date.fromisoformat(t.AS_OF), now=t.FETCHED_AT, stopwords=t.stopwords())
-    jobs.ingest(spark, root, _landed(spark, _blogs(), feeds=_feed_files(spark, sf_dir)), settings)
+    jobs.ingest(spark, root, _landed(spark, _blogs(spark, sf_dir), feeds=_feed_files(spark, sf_dir)), settings)
     return root
 
 

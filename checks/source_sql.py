@@ -23,14 +23,15 @@ SELECT source AS source_id, 'newsletter' AS source_type, 'tag:' || CAST(doc_id A
     "tweet_feed_items": f"""
 SELECT role AS source_id, id AS external_id, 'https://x.com/' || role || '/status/' || id AS url, upper(role) AS author, '2024-01-03T01:00:00+00:00' AS published_at,
   'tweet' AS kind, sha256({PLAIN}) AS text_sha256
-FROM (SELECT *, CAST(conv_id * 1000 + turn AS VARCHAR) AS id FROM conversations) WHERE conv_id % 3 <> 0 AND role IN ('user', 'assistant', 'system') AND {PLAIN} <> ''""",
+FROM (SELECT *, CAST(conv_id * 1000 + turn AS VARCHAR) AS id FROM conversations) WHERE conv_id % 3 <> 0 AND role IS NOT NULL AND {PLAIN} <> ''""",
     "catalog_dispatch": """
-WITH s AS (SELECT 'src' || CAST(k AS VARCHAR) AS source_id, ['rss', 'newsletter', 'podcast', 'archive'][k % 4 + 1] AS source_type FROM range(20) r(k))
+WITH s AS (SELECT source AS source_id, ['rss', 'newsletter', 'podcast', 'archive'][(row_number() OVER (ORDER BY source) - 1) % 4 + 1] AS source_type
+  FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL))
 SELECT source_id, source_type, COUNT(*) AS n FROM s JOIN documents d ON d.source = s.source_id WHERE source_type IN ('rss', 'newsletter') GROUP BY ALL
 UNION ALL SELECT source_id, source_type, 0 FROM s WHERE source_type = 'podcast'""",
     "tweet_api_items": """
 SELECT role AS source_id, id AS external_id, 'https://x.com/' || role || '/status/' || id AS url, sha256(text) AS text_sha256, 'tweet' AS kind, substr(text, 1, 80) AS title
-FROM (SELECT *, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id FROM conversations) WHERE conv_id % 7 >= 3 AND role IN ('user', 'assistant', 'system')""",
+FROM (SELECT *, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id FROM conversations) WHERE conv_id % 7 >= 3 AND role IS NOT NULL""",
     "sitemap_issues": """
 SELECT 'mapped' AS source_id, bare AS url, COUNT(*) AS n FROM (SELECT split_part(split_part(url, '#', 1), '?', 1) AS bare FROM pages)
 WHERE regexp_matches(bare, '^https?://[^/]*/en/') GROUP BY bare""",

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termpulse import fixed_values as fixed
-from termpulse.session import stage
+from termpulse.operators import toplists
+from termpulse.session import stage, stage_buckets
 
 # Sub-groups per day in the first step of a top-k, so one large day is cut by many tasks.
 DAY_SPLITS = 64
@@ -127,6 +128,19 @@ def with_lists(
     )
 
 
+def listed_terms(states: DataFrame, days: DataFrame, max_terms: int | None = fixed.MAX_TERMS_PER_DAY) -> DataFrame:
+    """``date, term, tf, df, article_ids, authors`` of merged states (``toplists``), culled and capped.
+
+    The states stay where their merge has put them: the cap ranks three narrow columns, and its keys meet the rows in place.
+    """
+    culled = _with_day_size(states, days).where((F.col("document_count") < 2) | (F.col("df") >= 2)).drop("document_count")
+    if max_terms is None:
+        return toplists.published(culled)
+    rows = stage_buckets(culled, "day-states", "date", "term")
+    kept = cap_terms(rows.select("date", "term", "tf"), max_terms).select("date", "term")
+    return toplists.published(rows.join(kept, ["date", "term"], "left_semi"))
+
+
 def day_terms(
     counts: DataFrame,
     days: DataFrame,
@@ -137,9 +151,12 @@ def day_terms(
 ) -> DataFrame:
     """The full rollup ``date, term, tf, df, article_ids, authors``; a cap of None keeps everything.
 
-    ``counts`` holds ``date, article_id, author, term_counts`` per article; it is read three
-    times, so pass a table or a staged frame. The kept terms are staged too.
+    ``counts`` holds ``date, article_id, author, term_counts`` per article. With bounded lists it is read once and has one
+    exchange on (date, term), of partial states; whole lists are read in three passes, so then pass a table or a staged frame.
     """
+    if max_articles is not None and max_authors is not None:
+        states = toplists.merged(toplists.states(counts, max_articles, max_authors), max_articles, max_authors)
+        return listed_terms(states, days, max_terms)
     terms = article_terms(counts, "date", "article_id", "author")
     kept = stage(cap_terms(day_totals(terms, days), max_terms).drop("document_count"), "kept-terms")
     return with_lists(kept, terms, max_articles=max_articles, max_authors=max_authors).select(

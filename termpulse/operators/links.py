@@ -12,11 +12,9 @@ from termpulse import fixed_values as fixed
 from termpulse.functions import html as htm
 from termpulse.functions import urls
 from termpulse.functions.common import let
+from termpulse.operators.allocation import serve_in_order
 from termpulse.operators.dedupe import drop_known, first_by_key, first_per
-from termpulse.session import stage
-
-# Pieces a link target is split into, so that a target named by very many issues is shared out.
-TARGET_SPLITS = 16
+from termpulse.session import stage, unstage
 
 
 def _with_links(pages: DataFrame, html: Column, resolve_on: Column | None) -> DataFrame:
@@ -72,6 +70,18 @@ def issue_urls(archives: DataFrame, base: Column, html: Column, prefix: Column)
     )
 
 
+def issue_bodies(issues: DataFrame, pages: DataFrame) -> DataFrame:
+    """``item_ord, url_canonical, html`` of newsletter issues: the HTML kept with the item, else its page, else ''.
+
+    ``pages``: ``url, html``, one row for a URL. Pages of issues that have their HTML take no part.
+    """
+    kept = F.coalesce("content_html", F.lit(""))
+    bare = issues.where(kept == "").select("item_ord", "url_canonical", "url")
+    wanted = pages.join(bare.select("url").distinct(), "url", "left_semi")
+    looked_up = bare.join(wanted, "url", "left").select("item_ord", "url_canonical", F.coalesce("html", F.lit("")).alias("html"))
+    return issues.where(kept != "").select("item_ord", "url_canonical", F.col("content_html").alias("html")).unionByName(looked_up)
+
+
 def follow_candidates(
     links: DataFrame, own_url: Column, blocked_hosts: Iterable[str] = fixed.BLOCKED_HOSTS
 ) -> DataFrame:
@@ -80,36 +90,6 @@ def follow_candidates(
     return links.where(F.col("canonical").isNotNull() & ~urls.is_blocked(F.col("canonical"), blocked_hosts) & away)
 
 
-def _settle(wanted: DataFrame, budget: int) -> DataFrame:
-    """Give each target to the earliest issue that reaches it within its budget.
-
-    Every target asks its earliest issue; an issue keeps its first ``budget`` targets by position
-    and turns the others away, who ask their next issue. Ends when nobody is turned away.
-    """
-    seat = F.min(F.struct("item_ord", "pos")).alias("at")
-    asking = stage(wanted.groupBy("canonical").agg(seat).select("canonical", "at.item_ord", "at.pos"), "asking")
-    order = W.partitionBy("item_ord").orderBy("pos")
-    salted = wanted.withColumn("__split", F.pmod(F.xxhash64("item_ord"), F.lit(TARGET_SPLITS)))
-    every_split = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(TARGET_SPLITS - 1).cast("bigint")))
-    while True:
-        ranked = asking.withColumn("__rank", F.row_number().over(order))
-        kept = stage(ranked.where(F.col("__rank") <= budget).drop("__rank"), "kept")
-        turned = asking.join(kept.select("canonical"), "canonical", "left_anti")
-        if turned.isEmpty():
-            return kept
-        moved = (
-            turned.select("canonical", F.col("item_ord").alias("__last"), every_split.alias("__split"))
-            .join(salted, ["canonical", "__split"])
-            .where(F.col("item_ord") > F.col("__last"))
-            .groupBy("canonical", "__split")
-            .agg(seat)
-            .groupBy("canonical")
-            .agg(F.min("at").alias("at"))
-            .select("canonical", "at.item_ord", "at.pos")
-        )
-        asking = stage(kept.unionByName(moved), "asking")
-
-
 def place_links(
     issues: DataFrame,
     links: DataFrame,
@@ -135,7 +115,7 @@ def place_links(
         url_cache.select(F.col("url_canonical").alias("canonical")), "canonical", "left_anti"
     )
     new = stage(new.join(has_page, "canonical", "left").withColumn("has_page", F.coalesce("has_page", F.lit(False))), "links")
-    taken = None
+    taken, stale = None, []
     while True:
         live = items if taken is None else items.join(taken, "item_ord", "left_anti")
         owners = live.select(F.col("url_canonical").alias("canonical"), F.col("item_ord").alias("__owner"))
@@ -146,7 +126,9 @@ def place_links(
             .drop("__owner"),
             "open-links",
         )
-        placed = _settle(open_links.where("has_page").drop("has_page"), budget)
+        wishes = open_links.where("has_page").select(F.col("item_ord").alias("taker"), "pos", F.col("canonical").alias("target"))
+        granted = serve_in_order(wishes, budget)
+        placed = granted.select(F.col("target").alias("canonical"), F.col("taker").alias("item_ord"), "pos")
         earlier = placed.select(F.col("canonical").alias("url_canonical"), F.col("item_ord").alias("__by"))
         now_taken = stage(
             items.join(earlier, "url_canonical").where(F.col("__by") < F.col("item_ord")).select("item_ord"), "taken"
@@ -156,6 +138,9 @@ def place_links(
         if changed.isEmpty():
             break
         taken = now_taken
+        # this round's tables are not read again; the items that it took are, by the next
+        unstage(open_links, granted, *stale)
+        stale = [now_taken]
     full = (
         placed.groupBy("item_ord")
         .agg(F.count(F.lit(1)).alias("__n"), F.max("pos").alias("__end"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termpulse.functions.dates import local_date, resolve_since
+from termpulse.sources.export import published
 from termpulse.sources.tables import exists
 
 Since = str | dt.date | dt.datetime | None
@@ -27,7 +28,7 @@ class Corpus:
 
     @classmethod
     def at(cls, spark: SparkSession, path: str, as_of: dt.date | None = None) -> Corpus:
-        return cls(*[spark.read.parquet(f"{path}/{name}") for name in TABLES], as_of=as_of)
+        return cls(*[published(spark, path, name) for name in TABLES], as_of=as_of)
 
     def _days(self, since: Since, until: Since) -> tuple[dt.date | None, dt.date | None]:
         return resolve_since(since, self.as_of), resolve_since(until, self.as_of)
@@ -103,7 +104,7 @@ def register_views(spark: SparkSession, path: str, names: dict[str, str] | None
     for name in TABLES:
         if exists(spark, f"{path}/{name}"):
             view = (names or {}).get(name, name)
-            spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(view)
+            published(spark, path, name).createOrReplaceTempView(view)
             made.append(view)
     return made
 

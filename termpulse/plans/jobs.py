@@ -15,12 +15,12 @@ from termpulse.functions import text as txt
 from termpulse.operators import daystats, evidence, scoring
 from termpulse.operators.derive import derive_articles, full_texts
 from termpulse.operators.cursors import next_cursors
-from termpulse.operators.links import follow_candidates, linked_items, outbound_links, place_links
+from termpulse.operators.links import follow_candidates, issue_bodies, linked_items, outbound_links, place_links
 from termpulse.plans import presentation
 from termpulse.session import stage
 from termpulse.sources import tables
-from termpulse.sources.export import export_all
-from termpulse.sources.feeds import parse_feeds
+from termpulse.sources.export import DAY, export_changed, new_changes, note_published, write_days
+from termpulse.sources.feeds import read_feeds
 from termpulse.sources.landed import Landed, newest_pages
 from termpulse.sources.registry import raw_items, unknown_sources
 
@@ -59,10 +59,7 @@ def ingest(spark: SparkSession, root: str, landed: Landed, settings: Settings) -
     issues = items.select("item_ord", "source_id", "source_type", "url", "url_canonical", "published_at", "content_html")
     letters = issues.where(F.col("source_type") == "newsletter")
     pages = newest_pages(landed.pages).where((F.col("status") == 200) & (F.coalesce("html", F.lit("")) != "")).select("url", "html")
-    # keep the HTML of the item; look an issue's page up again only where it is missing
-    bodies = letters.join(pages.select("url", F.col("html").alias("__page")), "url", "left").select(
-        "item_ord", "url_canonical", F.coalesce(F.nullif("content_html", F.lit("")), "__page", F.lit("")).alias("html")
-    )
+    bodies = issue_bodies(letters, pages)
     links = stage(
         follow_candidates(outbound_links(bodies, F.col("html")), F.col("url_canonical"), settings.blocked_hosts).select(
             "item_ord", "pos", "href", "canonical"
@@ -93,7 +90,7 @@ def ingest(spark: SparkSession, root: str, landed: Landed, settings: Settings) -
         "url_cache",
     )
     tables.append(next_cursors(items, settings.now), root, "cursors")
-    _, unread = parse_feeds(landed.feeds)
+    _, unread = read_feeds(landed)
     unread = unread.select("source_id", F.lit("no entries, or no well-formed XML").alias("reason"), F.lit(settings.now).alias("run_at"))
     tables.append(unread, root, "rejects")
     rejects = unknown_sources(landed, settings.adapters)
@@ -270,16 +267,25 @@ def attach(spark: SparkSession, root: str, answers: DataFrame, force: bool = Fal
 
 
 def export(spark: SparkSession, root: str, out: str) -> dict[str, int]:
-    return export_all(*[tables.read(spark, root, n) for n in ("articles", "terms", "elections")], out)
+    """Publish the days that have changed since the last export to ``out``; the row counts of the whole tables."""
+    return export_changed(spark, root, out)
 
 
 def build(spark: SparkSession, root: str, out: str) -> None:
-    """Write the presentation tables."""
+    """Write the presentation tables: of the pages only days whose election or articles have changed.
+
+    The lists of days have a row for each calendar day and are written whole.
+    """
     elections, articles = tables.read(spark, root, "elections"), tables.read(spark, root, "articles")
-    pages = presentation.day_pages(elections, articles)
-    pages |= {"archive": presentation.archive_list(elections), "feed": presentation.feed_rows(elections)}
-    for name, df in pages.items():
+    days, noted = new_changes(spark, root, out, "pages", "elections", "articles")
+    pages = presentation.day_pages(elections.where(F.col("date").isin(days)), articles)
+    for name in ("evidence", "day_articles"):
+        write_days(pages[name].withColumn(DAY, F.col("date")), days, f"{out}/{name}", "article_id")
+    lists = {"days": presentation.with_neighbours(elections), "archive": presentation.archive_list(elections), "feed": presentation.feed_rows(elections)}
+    for name, df in lists.items():
         df.write.mode("overwrite").parquet(f"{out}/{name}")
+    if days:
+        note_published(noted, out)
 
 
 def run(spark: SparkSession, root: str, landed: Landed, settings: Settings, out: str, answers: DataFrame | None = None) -> dict:

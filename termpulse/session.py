@@ -51,7 +51,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "snappy").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete frames of ``stage`` that no later plan reads."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage_buckets(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``stage`` in as many buckets of ``keys`` as there are shuffle partitions, for rows that are dealt by these keys.
+
+    Each task then writes one file, and joins and groups on the keys read the files in place, without another exchange.
+    Only the plan knows the table: its entry in the catalog is dropped at once.
+    """
+    spark, table = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.option("compression", "snappy").option("path", f"{shared_dir(spark)}/{table}")
+    writer.bucketBy(n, *keys).sortBy(*keys).saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return found
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

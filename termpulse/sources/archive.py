@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,42 +11,56 @@ from termpulse import fixed_values as fixed
 from termpulse.functions import html as htm
 from termpulse.functions import urls
 from termpulse.functions.common import blank_to_null, strip, xml_text
-from termpulse.operators.cursors import cap_per_source, cut_at_cursor
+from termpulse.operators.cursors import cut_at_cursor
 from termpulse.operators.dedupe import drop_known, first_per
 from termpulse.operators.links import issue_urls
-from termpulse.sources.feeds import _as_items, _first
-from termpulse.sources.landed import Landed, newest_pages, readable_pages
+from termpulse.session import stage
+from termpulse.sources.feeds import _as_items, _first, _ordered, capped, only_kept
+from termpulse.sources.landed import Landed, newest_pages, page_facts, readable_pages
 
 _LOC = r".*?<loc\b[^>]*>\s*(?:<!\[CDATA\[)?([^<\]]*)"
 _CHILD = r"(?is)<sitemap\b[^>]*>" + _LOC
 _LEAF = r"(?is)<url\b[^>]*>" + _LOC
 
 
-def sitemap_urls(roots: DataFrame, sitemaps: DataFrame, depth: int = fixed.SITEMAP_DEPTH) -> DataFrame:
+def _sitemap_entries(sitemaps: DataFrame) -> DataFrame:
+    """``loc, group, pos, target``: what each sitemap lists, child maps as group 0 and pages as group 1."""
+
+    def listed(pattern: str, group: int):
+        hits = F.regexp_extract_all("content", F.lit(pattern), F.lit(1))
+        return F.transform(hits, lambda raw, pos: F.struct(F.lit(group).cast("bigint").alias("group"), pos.cast("bigint").alias("pos"), strip(xml_text(raw)).alias("target")))
+
+    both = sitemaps.select("loc", F.inline(F.concat(listed(_CHILD, 0), listed(_LEAF, 1))))
+    return both.where((F.col("group") == 1) | (F.col("target") != ""))
+
+
+def sitemap_urls(roots: DataFrame, sitemaps: DataFrame, depth: int | None = fixed.SITEMAP_DEPTH) -> DataFrame:
     """Issue URLs of each source's sitemap tree: ``source_id, item_ord, url``.
 
-    ``roots``: ``source_id, prefix, loc``. Child sitemaps come before a map's own URLs; the order key
-    is the path down the tree.
+    ``roots``: ``source_id, prefix, loc``. Child sitemaps come before a map's own URLs; the order key is the path down the
+    tree. A level is read as long as the one above names maps, down to ``depth`` levels. With ``depth`` None the tree may
+    be as deep as it is, and a map is not read again below itself, so a cycle ends.
+
+    Sitemaps are parsed once; only narrow rows of maps go from level to level, and the pages join at the end.
     """
+    entries = stage(_sitemap_entries(sitemaps), "sitemap-entries")
+    children = entries.where("group = 0").select("loc", "pos", "target")
     none = F.array().cast("array<bigint>")
-    frontier = roots.select("source_id", "prefix", "loc", none.alias("key"))
-    found = None
-    for _ in range(depth):
-        maps = frontier.join(sitemaps.select("loc", "content"), "loc")
-
-        def locs(pattern: str, group: int) -> DataFrame:
-            hits = F.regexp_extract_all("content", F.lit(pattern), F.lit(1))
-            rows = maps.select("source_id", "prefix", "key", F.posexplode_outer(hits).alias("pos", "raw"))
-            step = F.concat("key", F.array(F.lit(group).cast("bigint"), F.col("pos").cast("bigint")))
-            return rows.where(F.col("pos").isNotNull()).select(
-                "source_id", "prefix", strip(xml_text(F.col("raw"))).alias("loc"), step.alias("key")
-            )
-
-        leaves = locs(_LEAF, 1).where(urls.path(F.col("loc")).startswith(F.col("prefix")))
-        leaves = leaves.select("source_id", F.col("key").alias("item_ord"), F.col("loc").alias("url"))
-        found = leaves if found is None else found.unionByName(leaves)
-        frontier = locs(_CHILD, 0).where(F.col("loc") != "")
-    return found
+    frontier, levels = roots.select("source_id", "prefix", "loc", none.alias("key"), F.array("loc").alias("trail")), []
+    while depth is None or len(levels) < depth:
+        frontier = stage(frontier, "sitemap-level")
+        if levels and frontier.isEmpty():
+            break
+        levels.append(frontier)
+        below = frontier.join(children, "loc")
+        if depth is None:
+            below = below.where(~F.array_contains("trail", F.col("target")))
+        step = F.concat("key", F.array(F.lit(0).cast("bigint"), F.col("pos")))
+        frontier = below.select("source_id", "prefix", F.col("target").alias("loc"), step.alias("key"), F.concat("trail", F.array("target")).alias("trail"))
+    maps = reduce(DataFrame.unionByName, levels)
+    pages = maps.join(entries.where("group = 1").select("loc", "pos", "target"), "loc")
+    pages = pages.where(urls.path(F.col("target")).startswith(F.col("prefix")))
+    return pages.select("source_id", F.concat("key", F.array(F.lit(1).cast("bigint"), F.col("pos"))).alias("item_ord"), F.col("target").alias("url"))
 
 
 def archive_issue_urls(landed: Landed) -> DataFrame:
@@ -72,24 +88,41 @@ def archive_issue_urls(landed: Landed) -> DataFrame:
     return mapped.select(*scraped.columns).unionByName(scraped)
 
 
-def archive_items(landed: Landed) -> DataFrame:
-    """Raw items of archive sources. Known URLs leave first, so the cursor only sees new ones."""
+def _issues(landed: Landed) -> DataFrame:
+    """New issues, with the place of their source in ``item_ord``; known URLs leave first, so the cursor only sees new ones."""
+    if "issues" not in landed.held:
+        landed.held["issues"] = stage(archive_issue_urls(landed), "archive-issues")
+    issues = landed.held["issues"].withColumn("external_id", F.col("url_canonical"))
     sources = landed.of_type("archive").select("source_id", "source_type", "source_ord", "author")
-    issues = archive_issue_urls(landed).withColumn("external_id", F.col("url_canonical"))
-    fresh = cut_at_cursor(drop_known(issues, landed.url_cache), landed.cursors)
-    rows = (
-        fresh.join(readable_pages(landed.pages), "url")
+    return cut_at_cursor(drop_known(issues, landed.url_cache), landed.cursors).join(sources, "source_id").withColumn("item_ord", _ordered())
+
+
+def archive_candidates(landed: Landed) -> DataFrame:
+    """``source_id, item_ord, url_canonical`` of new issues whose page has a text or a title; no page takes part in the joins."""
+    told = (htm.text_nodes(F.col("html")) != "") | (htm.title(F.col("html")) != "")
+    facts = page_facts(landed.pages, told=told).where("told")
+    return _issues(landed).join(facts, "url").select("source_id", "item_ord", "url_canonical")
+
+
+def archive_kept(landed: Landed, kept: DataFrame) -> DataFrame:
+    """Raw items of the kept issues; only their pages are read into text."""
+    rows = only_kept(_issues(landed), kept)
+    pages = landed.pages.join(rows.select("url").distinct(), "url", "left_semi")
+    paged = (
+        rows.join(readable_pages(pages), "url")
         .withColumn("content_text", htm.text_nodes(F.col("html")))
-        .withColumn("title", htm.title(F.col("html")))
-        .where((F.col("content_text") != "") | (F.col("title") != ""))
-        .withColumn("title", strip(F.coalesce(blank_to_null(F.col("title")), F.col("url"))))
-        .join(sources, "source_id")
+        .withColumn("title", strip(F.coalesce(blank_to_null(htm.title(F.col("html"))), F.col("url"))))
     )
     return _as_items(
-        cap_per_source(rows, landed.max_items),
+        paged,
         url=F.col("url"),
         author=F.col("author"),
         published=F.coalesce(htm.published(F.col("html"), landed.now()), landed.now()),
         kind="article",
         html=F.col("html"),
     )
+
+
+def archive_items(landed: Landed) -> DataFrame:
+    """Raw items of archive sources, each cut at its own limit."""
+    return archive_kept(landed, stage(capped(landed, archive_candidates(landed)), "emitted"))

@@ -31,9 +31,9 @@ def _read(spark: SparkSession, path: str, schema: str, pattern: str) -> DataFram
 
 
 def read_articles(spark: SparkSession, path: str, day: str | None = None, pattern: str = JSON_FILES) -> DataFrame:
-    """Article files under ``path/<YYYY-MM-DD>/``; the folder is the bucket date."""
+    """Article files under ``path/<YYYY-MM-DD>/`` or ``path/<name>=<YYYY-MM-DD>/``; the folder is the bucket date."""
     raw = _read(spark, path if day is None else f"{path}/{day}", _ARTICLE, pattern)
-    bucket = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1).try_cast("date")
+    bucket = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})/[^/]+$", 1).try_cast("date")
     pairs = F.transform("top_terms", lambda p: F.struct(F.get(p, F.lit(0)).alias("term"), F.get(p, F.lit(1)).try_cast("bigint").alias("tf")))
     return raw.withColumn("bucket_date", bucket).where(F.col("bucket_date").isNotNull()).withColumn("top_terms", pairs)
 

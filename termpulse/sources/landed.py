@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ class Landed:
     url_cache: DataFrame
     as_of: str
     max_items: int = fixed.MAX_ITEMS_PER_SOURCE
+    #: What the adapters of a run have read already, by name.
+    held: dict = field(default_factory=dict, repr=False)
 
     def of_type(self, *types: str) -> DataFrame:
         return self.sources.where(F.col("source_type").isin(*types))
@@ -62,13 +64,32 @@ def file_order(files: DataFrame) -> Column:
     return F.array(time.cast("bigint"), F.xxhash64(name))
 
 
+def _newest(pages: DataFrame) -> Column:
+    """How late a row of a page is: by landing, then a page that was read, then its content."""
+    landed = ["landed_at"] if "landed_at" in pages.columns else []
+    return F.struct(*landed, (F.col("status") == 200).alias("read"), F.xxhash64("html").alias("h"))
+
+
 def newest_pages(pages: DataFrame) -> DataFrame:
     """One row for a URL: the page that landed last."""
     others = [c for c in pages.columns if c != "url"]
-    order = F.struct(*(["landed_at"] if "landed_at" in others else []), (F.col("status") == 200).alias("read"), F.xxhash64("html").alias("h"))
-    return pages.groupBy("url").agg(F.max_by(F.struct(*others), order).alias("__p")).select("url", "__p.*")
+    return pages.groupBy("url").agg(F.max_by(F.struct(*others), _newest(pages)).alias("__p")).select("url", "__p.*")
+
+
+def _readable() -> Column:
+    return (F.col("status") == 200) & urls.has_content_type_text(F.col("content_type"))
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:
     """Fetched pages that are text: status 200 and an HTML, XML or text content type."""
-    return newest_pages(pages).where((F.col("status") == 200) & urls.has_content_type_text(F.col("content_type"))).select("url", "html")
+    return newest_pages(pages).where(_readable()).select("url", "html")
+
+
+def page_facts(pages: DataFrame, **facts: Column) -> DataFrame:
+    """``url`` of the readable pages, and ``facts`` of their HTML.
+
+    Only the facts meet in the exchange that finds the newest row of a URL: pages are read where they stand.
+    """
+    narrow = pages.select("url", _newest(pages).alias("__at"), _readable().alias("__readable"), *[c.alias(n) for n, c in facts.items()])
+    newest = F.max_by(F.struct("__readable", *facts), "__at").alias("__p")
+    return narrow.groupBy("url").agg(newest).select("url", "__p.*").where("__readable").drop("__readable")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ SCHEMAS = {
     "processed_days": "date date, processed_at string, document_count bigint, reprocessed boolean",
     "term_first_seen": "term string, first_seen date",
     "rejects": "source_id string, reason string, run_at string",
+    # one row for each write and day of a partitioned table
+    "changes": "name string, date date, change string",
 }
 PARTITION = {"articles": "bucket_date", "fulltext": "bucket_date", "terms": "date", "days": "date", "elections": "date"}
 
@@ -62,13 +65,37 @@ def _by_day(df: DataFrame, name: str) -> DataFrame:
 def append(df: DataFrame, root: str, name: str) -> None:
     rows = _by_day(df, name) if name in PARTITION else _typed(df, name)
     writer = rows.write.mode("append").option("compression", "zstd")
-    if name in PARTITION:
-        writer = writer.partitionBy(PARTITION[name])
-    writer.parquet(f"{root}/{name}")
+    if name not in PARTITION:
+        writer.parquet(f"{root}/{name}")
+        return
+    days = _days(df, name)
+    writer.partitionBy(PARTITION[name]).parquet(f"{root}/{name}")
+    _note(df.sparkSession, days, root, name)
+
+
+def _days(df: DataFrame, name: str) -> list:
+    """Calendar days that ``df`` has rows for."""
+    return [r[0] for r in df.select(F.col(PARTITION[name]).cast("date")).distinct().collect()]
+
+
+def _note(spark: SparkSession, days: list, root: str, name: str) -> None:
+    """Log that ``days`` of a table have changed. The write comes first: a lost note is written by its repetition."""
+    if days:
+        change = uuid.uuid4().hex
+        rows = spark.createDataFrame([(name, day, change) for day in days], SCHEMAS["changes"])
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/changes")
+
+
+def changed_days(spark: SparkSession, root: str, name: str, seen: DataFrame | None = None) -> DataFrame:
+    """``date, change`` of a table's changes that ``seen`` (change) does not have."""
+    rows = read(spark, root, "changes").where(F.col("name") == name).select("date", "change")
+    return rows if seen is None else rows.join(seen.select("change").distinct(), "change", "left_anti")
 
 
 def overwrite_days(df: DataFrame, root: str, name: str) -> None:
     """Replace the partitions that ``df`` has rows for; other days stay."""
+    # before the write, as ``df`` may read the files that it replaces
+    days = _days(df, name)
     (
         _by_day(df, name)
         .write.mode("overwrite")
@@ -77,13 +104,16 @@ def overwrite_days(df: DataFrame, root: str, name: str) -> None:
         .partitionBy(PARTITION[name])
         .parquet(f"{root}/{name}")
     )
+    _note(df.sparkSession, days, root, name)
 
 
 def drop_days(spark: SparkSession, root: str, name: str, days: Iterable) -> None:
     """Remove whole day partitions."""
+    days = list(days)
     for day in days:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{PARTITION[name]}={day}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _note(spark, days, root, name)
 
 
 def days_of(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -94,20 +124,22 @@ def days_of(spark: SparkSession, root: str, name: str) -> DataFrame:
 def upsert_articles(new: DataFrame, root: str, name: str = "articles") -> None:
     """Add rows by (bucket date, article key); a row that is there is replaced.
 
-    Usually nothing collides and this is a plain append. Only days with a collision are rewritten.
+    Usually nothing collides and this is a plain append. Only days with a collision are rewritten, and of the table only the
+    keys of the days in ``new`` are read.
     """
     spark, keys = new.sparkSession, ["bucket_date", "article_key"]
-    old = read(spark, root, name)
-    touched = old.join(new.select(*keys), keys, "left_semi").select("bucket_date").distinct()
-    if touched.isEmpty():
-        append(new, root, name)
-        return
-    # one row per calendar day
-    kept = old.join(F.broadcast(touched), "bucket_date", "left_semi").join(new.select(*keys), keys, "left_anti")
-    overwrite_days(
-        kept.unionByName(_typed(new, name).join(F.broadcast(touched), "bucket_date", "left_semi")), root, name
-    )
-    append(new.join(F.broadcast(touched), "bucket_date", "left_anti"), root, name)
+    # calendar days only
+    days = [r.bucket_date for r in new.select("bucket_date").distinct().collect()]
+    old = read(spark, root, name).where(F.col("bucket_date").isin(days))
+    # before the write, which replaces files that they come from
+    touched = [r.bucket_date for r in old.join(new.select(*keys), keys, "left_semi").select("bucket_date").distinct().collect()]
+    if touched:
+        own = F.col("bucket_date").isin(touched)
+        kept = old.where(own).join(new.select(*keys), keys, "left_anti")
+        overwrite_days(kept.unionByName(_typed(new, name).where(own)), root, name)
+    rest = [d for d in days if d not in touched]
+    if rest:
+        append(new.where(F.col("bucket_date").isin(rest)), root, name)
 
 
 def url_cache(spark: SparkSession, root: str) -> DataFrame:

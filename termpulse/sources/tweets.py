@@ -41,6 +41,7 @@ def tweet_api_items(landed: Landed) -> DataFrame:
         .withColumn("content_text", text)
         .withColumn("title", F.substring("content_text", 1, fixed.TWEET_TITLE_CHARS))
         .withColumn("url_canonical", url)
+        .withColumn("item_ord", F.concat(F.array("source_ord"), F.col("item_ord")))
     )
     return _as_items(
         rows,

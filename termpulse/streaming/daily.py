@@ -1,4 +1,4 @@
-"""Landed items as a stream: first-wins de-duplication and rebuilds of the days that change."""
+"""Loads of landed items into the tables, with rebuilds of the days that change."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from termpulse.sources import tables
 
 
 def write_batch(batch: DataFrame, root: str, settings: Settings) -> None:
-    """Add one micro-batch of raw items and rebuild every day it touches.
+    """Add a load of raw items and rebuild every day it touches. (For streams see ``deltas``.)
 
     No item is too late: it goes to its own day, and that day is rebuilt. Running a batch again
     gives the same tables, since touched days come from the batch and not from what was new in it.
@@ -38,12 +38,3 @@ def write_batch(batch: DataFrame, root: str, settings: Settings) -> None:
     # calendar days only
     touched = items.select(art.bucket_date(F.col("published_at"), as_of).alias("d")).distinct().collect()
     process(spark, root, settings, [r.d for r in touched])
-
-
-def start(items: DataFrame, root: str, settings: Settings, checkpoint: str, available_now: bool = False):
-    """Start the stream over ``items`` (raw item columns with ``item_ord``)."""
-    writer = items.writeStream.foreachBatch(lambda batch, _: write_batch(batch, root, settings))
-    writer = writer.option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()

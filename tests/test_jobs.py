@@ -62,6 +62,39 @@ def test_process_elect_export_and_read(spark, tmp_path):
     assert spark.sql("SELECT max(word) AS w FROM elected").first().w is not None
 
 
+def files_of(path):
+    return {p.relative_to(path).as_posix(): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_exports_and_builds_write_changed_days_alone(spark, tmp_path):
+    root, out = str(tmp_path / "data"), tmp_path / "out"
+    fill(spark, root)
+    jobs.elect_days(spark, root, SETTINGS, backfill=True)
+    jobs.export(spark, root, str(out))
+    jobs.build(spark, root, str(out / "site"))
+    first = files_of(out)
+    assert jobs.export(spark, root, str(out))["articles"] == 6
+    assert {k: v for k, v in files_of(out).items() if "site" not in k} == {k: v for k, v in first.items() if "site" not in k}
+    # a new article of one day, and another day that is lost
+    fill(spark, root, [("b", "new", "2026-04-12T10:00:00+00:00", "agents and mcp")])
+    jobs.elect_days(spark, root, SETTINGS, [dt.date(2026, 4, 12)])
+    tables.drop_days(spark, root, "articles", [dt.date(2026, 4, 11)])
+    jobs.reprocess(spark, root, SETTINGS, dt.date(2026, 4, 11), dt.date(2026, 4, 11), out=str(out))
+    jobs.build(spark, root, str(out / "site"))
+    after = files_of(out)
+    kept = {k for k in first if "day=2026-04-13" in k}
+    assert kept and all(after[k] == first[k] for k in kept)
+    assert not any("day=2026-04-11" in k for k in after) and any("day=2026-04-12" in k and k not in first for k in after)
+    c = api.Corpus.at(spark, str(out), SETTINGS.as_of)
+    assert c.articles().count() == 5 and c.elections().count() == 2 and "day" not in c.terms().columns
+    assert spark.read.parquet(str(out / "site" / "day_articles")).count() == 5
+
+
+def test_nothing_published_yet(spark, tmp_path):
+    assert jobs.export(spark, str(tmp_path / "none"), str(tmp_path / "out")) == {"articles": 0, "terms": 0, "elections": 0}
+    assert api.Corpus.at(spark, str(tmp_path / "out"), SETTINGS.as_of).terms().count() == 0
+
+
 def test_processing_again_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "data")
     fill(spark, root)
@@ -122,17 +155,6 @@ def test_late_and_implausible_dates(spark, tmp_path):
     assert days[dt.date(2026, 4, 11)] == 3 and days[SETTINGS.as_of] == 1
 
 
-def test_stream_over_files(spark, tmp_path):
-    root, source = str(tmp_path / "data"), str(tmp_path / "in")
-    items = raw(spark, DAYS)
-    items.coalesce(1).write.parquet(source)
-    items.limit(2).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    daily.start(stream, root, SETTINGS, str(tmp_path / "cp"), available_now=True).awaitTermination()
-    assert tables.read(spark, root, "articles").count() == 6
-    assert tables.read(spark, root, "terms").where("term = 'mcp'").agg(F.sum("tf")).first()[0] == 20
-
-
 def test_blurbs(spark, tmp_path):
     root = str(tmp_path / "data")
     fill(spark, root)

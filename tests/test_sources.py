@@ -1,11 +1,12 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from termpulse.operators.cursors import cut_at_cursor
 from termpulse.sources import catalog, feeds, registry
-from termpulse.sources.archive import sitemap_urls
+from termpulse.sources.archive import archive_candidates, sitemap_urls
 from termpulse.sources.landed import Landed, read_documents
 from termpulse.sources.tables import SCHEMAS
 
@@ -166,6 +167,39 @@ def test_sitemap_tree(spark):
     assert got == ["https://z/p/1", "https://z/p/1", "https://z/p/top"]
 
 
+def test_sitemap_trees_of_any_depth_end_at_cycles(spark):
+    leaf = "<urlset><url><loc>https://z/p/{}</loc></url></urlset>"
+    below = lambda *locs: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in locs) + "</sitemapindex>"
+    maps = [("r", below("a", "r")), ("a", below("b", "a")), ("b", below("c", "r", "x")), ("c", below("d", "a")), ("d", leaf.format(1)), ("x", leaf.format(2)), ("lost", leaf.format(3))]
+    sitemaps = spark.createDataFrame(maps, "loc string, content string")
+    roots = spark.createDataFrame([("s", "/p/", "r"), ("none", "/p/", "missing")], "source_id string, prefix string, loc string")
+    got = [(r.source_id, r.url) for r in sitemap_urls(roots, sitemaps, depth=None).orderBy("item_ord").collect()]
+    assert got == [("s", "https://z/p/1"), ("s", "https://z/p/2")]
+    assert sitemap_urls(roots, sitemaps).count() == 0 and sitemap_urls(roots.limit(0), sitemaps, depth=None).count() == 0
+
+
+def test_urls_of_earlier_sources_leave_places_to_later_items(spark):
+    shared, own = feed_of("s1", "s2"), feed_of("s1", "s2", "s1", "own1", "own2", "own3")
+    sources = [{"id": k, "type": "rss", "name": k, "feed": "f"} for k in ("first", "second")] + [{"id": "posts", "type": "twitter", "handle": "", "nitter_feed": "n"}, {"id": "last", "type": "rss", "name": "l", "feed": "f"}]
+    files = spark.createDataFrame([("first", shared), ("second", own), ("posts", own), ("last", own)], "source_id string, content string")
+    landed = landed_of(spark, sources=catalog.sources_frame(spark, sources), feeds=files, cursors=spark.createDataFrame([], "source_id string, last_guid string"), max_items=2)
+    found = {}
+    for r in sorted(registry.raw_items(landed).collect(), key=lambda r: r.item_ord):
+        found.setdefault(r.source_id, []).append(r.external_id)
+    # posts skip no URL of others, and the last source skips theirs
+    assert found == {"first": ["s1", "s2"], "second": ["own1", "own2"], "posts": ["s1", "s2"], "last": ["own3"]}
+
+
+def test_pages_take_no_part_in_ranks(spark):
+    """Neither texts nor HTML are in the plans that choose what a run emits."""
+    landed = landed_of(spark)
+    for candidates in (feeds.rss_candidates(landed), archive_candidates(landed)):
+        assert candidates.columns == ["source_id", "item_ord", "url_canonical"]
+        plan = spark._jvm.PythonSQLUtils.explainString(candidates._jdf.queryExecution(), "formatted")
+        moved = re.findall(r"\(\d+\) \w*Exchange.*\nInput \[\d+\]: \[(.*)\]", plan)
+        assert moved and not any(re.search(r"\b(html|body|content|summary)#", columns) for columns in moved)
+
+
 def test_catalog(spark, tmp_path):
     path = tmp_path / "sources.json"
     path.write_text(json.dumps({"version": 1, "sources": SOURCES}))

@@ -91,9 +91,14 @@ def write_days(df: DataFrame, days: Iterable, path: str, *order: str) -> None:
 
 def published(spark: SparkSession, out: str, name: str) -> DataFrame:
     """A published table, written whole or by day, without its folder column; empty if nothing was published yet."""
-    if not tables.exists(spark, f"{out}/{name}"):
-        return PUBLISHED[name][0](spark.createDataFrame([], tables.SCHEMAS[name]))
-    return spark.read.parquet(f"{out}/{name}").drop(DAY)
+    path, reader = f"{out}/{name}", spark.read
+    if name in PUBLISHED:
+        empty = PUBLISHED[name][0](spark.createDataFrame([], tables.SCHEMAS[name]))
+        if not tables.exists(spark, path):
+            return empty
+        # given, as a folder may hold no rows
+        reader = reader.schema(empty.schema)
+    return reader.parquet(path).drop(DAY)
 
 
 def _seen(spark: SparkSession, out: str) -> DataFrame:

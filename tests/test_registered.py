@@ -8,8 +8,11 @@ import __spark_entry__ as entry
 from checks import compare, registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# These run whole jobs; test_jobs covers them on small inputs.
-SLOW = {"reprocess_range", "stream_daily_terms", "link_budget", "export_roundtrip", "processed_days"}
+# These run whole jobs or streams; test_jobs, test_stream and test_allocation cover them on small inputs.
+SLOW = {
+    "reprocess_range", "stream_daily_terms", "stream_restart", "stream_first_wins", "export_roundtrip", "export_one_day", "processed_days",
+    "full_run_tables", "failed_links",
+}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 

@@ -40,21 +40,25 @@ def test_ngrams(column):
     assert column(lambda c: txt.ngrams(txt.tokens(c), 2), ["a b c", "a", ""]) == [["a b", "b c"], [], []]
 
 
+RULES = {
+    # numbers are no words; a word of one letter ends every gram that holds it
+    "Room 101 b 7 lamps2": "room|lamps2",
+    # two letters are enough
+    "an ox": "an|ox|an ox",
+    # runs of stopwords alone are nothing, but grams may hold some
+    "the and of the lamp of the and": "lamp|the lamp|lamp of|of the lamp|the lamp of|lamp of the",
+    # listed grams stay, whatever they hold
+    "x of MCP, the context window": (
+        "x|mcp|context|window|of mcp|mcp the|the context|context window|of mcp the|mcp the context|the context window"
+    ),
+    "of the and": "",
+}
+
+
 def test_terms_follow_the_rules(spark):
-    texts = [
-        "A context window is wide and the MCP of o1 is small",
-        "k k j j obj endobj xref k k",
-        "x x x the the",
-        "",
-        None,
-    ]
-    got = terms_of(spark, texts, stopwords=STOP, allowlist=ALLOW)
-    assert got == [dict(expected_terms(t, STOP, ALLOW)) for t in texts]
-    assert "the" not in got[0] and got[0]["context window"] == 1
-    assert got[2] == {"x": 3}
-    assert not any(t.startswith(("k ", "j ")) for t in got[1])
-    leftovers = terms_of(spark, ["k k j j obj endobj endstream xref trailer startxref k k"])[0]
-    assert not any(t in leftovers for t in ("k", "k k", "j j", "obj", "endobj", "endstream", "xref"))
+    got = terms_of(spark, [*RULES, None], stopwords=STOP, allowlist=ALLOW)
+    wanted = [{term: 1 for term in terms.split("|") if term} for terms in RULES.values()]
+    assert got == [*wanted, {}] == [dict(expected_terms(t, STOP, ALLOW)) for t in [*RULES, None]]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

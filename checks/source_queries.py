@@ -21,6 +21,8 @@ NOW = "2024-01-30T06:00:00+00:00"
 ALL = 1 << 30
 #: Entries of a landed file.
 PER_FILE = 20
+#: Articles of a JSON file.
+PER_IMPORT = 200
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -191,10 +193,11 @@ def _day(n: Column) -> Column:
 
 
 def json_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article files in day folders."""
+    """Article files in day folders; a file holds an array of articles."""
     path, n = _folder(spark, "json-articles"), F.col("doc_id")
     d = t.table(spark, sf_dir, "documents").select(
         _day(n).cast("string").alias("day"),
+        F.floor(n / (PER_IMPORT * 30)).alias("n"),
         F.to_json(
             F.struct(
                 art.article_id(F.col("source"), n.cast("string")).alias("article_id"), F.col("source").alias("source_id"), F.lit("article").alias("kind"),
@@ -203,8 +206,9 @@ def json_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("value"),
     )
-    # one file for each article, all days in one write
-    d.write.partitionBy("day").option("maxRecordsPerFile", 1).format("text").save(path)
+    files = d.groupBy("day", "n").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    # one file for each array, all days in one write
+    files.select("day", "value").write.partitionBy("day").option("maxRecordsPerFile", 1).format("text").save(path)
     # the writer's own names end in .txt
     raw = imports.read_articles(spark, path, pattern="*.txt")
     return raw.select("article_id", "source_id", "kind", "content_chars", "content_sha256", F.sha2("snippet", 256).alias("snippet_sha256"), F.get("top_terms", F.lit(0))["term"].alias("top_term"), F.get("top_terms", F.lit(0))["tf"].alias("top_tf"), "bucket_date")

@@ -1,4 +1,4 @@
-"""Imports of JSON corpora: one file per article, per day's stats, per election."""
+"""Imports of JSON corpora: files of one article, day's stats or election, or of an array of them."""
 
 from __future__ import annotations
 

@@ -34,20 +34,18 @@ def article_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = t.staged_counts(spark, sf_dir)
-    full = daystats.day_terms(counts, daystats.day_headers(counts))
+    full = t.day_terms(spark, sf_dir)
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 
 def day_terms_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = t.staged_counts(spark, sf_dir)
-    full = daystats.day_terms(counts, daystats.day_headers(counts), max_terms=200, max_articles=5, max_authors=3)
+    full = t.day_terms(spark, sf_dir, max_terms=200, max_articles=5, max_authors=3)
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 
 def day_terms_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All terms of every day with all of their articles and authors."""
-    counts = t.staged_counts(spark, sf_dir)
+    counts = t.counted(spark, sf_dir)
     full = daystats.day_terms(counts, daystats.day_headers(counts), max_terms=None, max_articles=None, max_authors=None)
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
@@ -84,15 +82,18 @@ def elect_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def elections(spark: SparkSession, sf_dir: str, rerank: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+def leaders(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
+    """The first ``RERANK_INPUT`` terms of every day, written: at most that many rows per calendar day."""
+    return stage(scoring.rank_candidates(_scored(spark, sf_dir, days), fixed.RERANK_INPUT), "leaders")
+
+
+def elections(
+    spark: SparkSession, sf_dir: str, rerank: DataFrame | None = None, head: DataFrame | None = None, days: DataFrame | None = None
+) -> DataFrame:
     """Elections with candidates and evidence; the article lists are built for the candidates only."""
-    counts = t.staged_counts(spark, sf_dir) if counts is None else counts
-    days = stage(daystats.day_headers(counts), "day-headers")
-    terms = daystats.article_terms(counts, "date", "article_id")
-    totals = daystats.cap_terms(daystats.day_totals(terms, days))
-    head = scoring.rank_candidates(scoring.score_terms(totals, days), fixed.RERANK_INPUT)
-    # at most RERANK_INPUT rows per calendar day
-    lists = daystats.term_articles(terms.join(F.broadcast(head.select("date", "term")), ["date", "term"], "left_semi"))
+    days = stage(t.days(spark, sf_dir), "day-headers") if days is None else days
+    head = leaders(spark, sf_dir, days) if head is None else head
+    lists = daystats.term_articles(daystats.occurrences(t.counted(spark, sf_dir), head))
     return scoring.elect(head.join(lists, ["date", "term"], "left"), days, rerank)
 
 

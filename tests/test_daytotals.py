@@ -70,3 +70,12 @@ def test_rollup_with_totals_equals_that_of_all_states(spark):
     bounds = {"max_terms": 9, "max_articles": 3, "max_authors": 2}
     key = lambda df: sorted((r.date, r.term, r.tf, r.df, r.article_ids, r.authors) for r in df.collect())
     assert key(daystats.day_terms(counted(articles), days, totals, **bounds)) == key(daystats.day_terms(counted(articles), days, **bounds))
+
+
+def test_articles_without_an_id_count_and_are_not_listed(spark):
+    rows = [(DAY, None, "Ann", [("x", 2)]), (DAY, "a--2", "Bo", [("x", 1)]), (DAY, None, None, [("x", 1)]), (None, "a--3", "Cy", [("x", 1)])]
+    counts = spark.createDataFrame(rows, "date date, article_id string, author string, term_counts array<struct<term:string,tf:bigint>>")
+    days = spark.createDataFrame([(DAY, 3)], "date date, document_count bigint")
+    for bound, authors in ((None, ["Ann", "Bo"]), (1, ["Bo"])):
+        (r,) = daystats.day_terms(counts, days, max_terms=None, max_articles=bound, max_authors=bound).collect()
+        assert (r.tf, r.df, r.article_ids, r.authors) == (4, 3, ["a--2"], authors)

@@ -9,7 +9,7 @@ from checks import tables as t
 from termpulse import fixed_values as fixed
 from termpulse.functions import article as art
 from termpulse.functions import text as txt
-from termpulse.operators import daystats, scoring
+from termpulse.operators import daystats, daytotals, scoring
 from termpulse.session import stage
 
 
@@ -64,9 +64,9 @@ def baseline_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return based.select("date", "term", F.round("avg_tf_baseline", 4).alias("avg_tf_baseline"), "ever_present")
 
 
-def _scored(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, days: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
     days = stage(t.days(spark, sf_dir), "day-headers") if days is None else days
-    return scoring.score_terms(t.totals(spark, sf_dir, days), days)
+    return scoring.score_terms(t.totals(spark, sf_dir, days, rows), days)
 
 
 def term_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,19 +82,25 @@ def elect_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def leaders(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
+def leaders(spark: SparkSession, sf_dir: str, days: DataFrame, rows: DataFrame) -> DataFrame:
     """The first ``RERANK_INPUT`` terms of every day, written: at most that many rows per calendar day."""
-    return stage(scoring.rank_candidates(_scored(spark, sf_dir, days), fixed.RERANK_INPUT), "leaders")
+    return stage(scoring.rank_candidates(_scored(spark, sf_dir, days, rows), fixed.RERANK_INPUT), "leaders")
 
 
 def elections(
-    spark: SparkSession, sf_dir: str, rerank: DataFrame | None = None, head: DataFrame | None = None, days: DataFrame | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    rerank: DataFrame | None = None,
+    head: DataFrame | None = None,
+    days: DataFrame | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Elections with candidates and evidence; the article lists are built for the candidates only."""
     days = stage(t.days(spark, sf_dir), "day-headers") if days is None else days
-    head = leaders(spark, sf_dir, days) if head is None else head
-    lists = daystats.term_articles(daystats.occurrences(t.counted(spark, sf_dir), head))
-    return scoring.elect(head.join(lists, ["date", "term"], "left"), days, rerank)
+    rows = t.texts(spark, sf_dir) if rows is None else rows
+    head = leaders(spark, sf_dir, days, rows) if head is None else head
+    found = daytotals.text_occurrences(rows, F.col("text"), head, stopwords=t.stopwords())
+    return scoring.elect(head.join(daystats.term_articles(found), ["date", "term"], "left"), days, rerank)
 
 
 def elect_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,10 @@ def derive_articles(
     base = items.withColumn("content_text", F.coalesce(body, F.lit(""))).withColumn(
         "__all", art.title_and_text(F.col("title"), body)
     )
-    counted = txt.with_term_counts(base, F.col("__all"), keep=items.columns, **term_options)
+    # two columns of their own: whoever drops the counts of all terms does not pay for them
+    counted = base.select(
+        *items.columns, txt.top_counts(F.col("__all"), n_top, **term_options).alias("top_terms"), txt.term_counts(F.col("__all"), **term_options).alias("term_counts")
+    )
     return counted.select(
         art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"),
         "source_id",
@@ -42,7 +45,7 @@ def derive_articles(
         art.content_chars(body).alias("content_chars"),
         art.estimate_tokens(body).alias("content_tokens"),
         art.snippet(body).alias("snippet"),
-        txt.top_terms(F.col("term_counts"), n_top).alias("top_terms"),
+        "top_terms",
         art.bucket_date(F.col("published_at"), as_of).alias("bucket_date"),
         art.article_key(F.col("source_id"), F.col("external_id")).alias("article_key"),
         "term_counts",

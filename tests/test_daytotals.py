@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from termpulse.functions import grams
@@ -79,3 +81,61 @@ def test_articles_without_an_id_count_and_are_not_listed(spark):
     for bound, authors in ((None, ["Ann", "Bo"]), (1, ["Bo"])):
         (r,) = daystats.day_terms(counts, days, max_terms=None, max_articles=bound, max_authors=bound).collect()
         assert (r.tf, r.df, r.article_ids, r.authors) == (4, 3, ["a--2"], authors)
+
+
+def test_a_cap_counts_few_terms_and_a_guess_that_is_too_high_is_mended(spark, monkeypatch):
+    articles = frame(spark).where("date is not null").cache()
+    days = daystats.day_headers(articles)
+    plain = daystats.day_totals(daystats.article_terms(counted(articles), "date"), days)
+    key = lambda df: sorted((r.date, r.term, r.tf, r.df) for r in df.collect())
+    stored = daystats.article_terms(counted(articles.where("k % 3 = 0")), "date")
+    for least in (8, 1 << 40):
+        guess = lambda added, n: added.select("date", F.lit(least).cast("bigint").alias("least")).distinct()  # noqa: B023, E731
+        monkeypatch.setattr(daytotals, "_guesses", guess)
+        found = daytotals.text_totals(articles.where("k % 3 <> 0"), F.col("text"), days, stored, max_terms=7)
+        assert key(daystats.cap_terms(found, 7)) == key(daystats.cap_terms(plain, 7))
+        assert found.count() < plain.count()
+
+
+def test_buckets_bound_every_term_and_hold_few_days_at_once(monkeypatch):
+    monkeypatch.setattr(daytotals, "HELD_DAYS", 2)
+    rng = np.random.default_rng(5)
+    day, hashes, n = rng.integers(0, 9, 500), rng.integers(0, 1 << 32, 500), rng.integers(1, 400, 500)
+    held, batches = {}, []
+    for part in (slice(0, 250), slice(250, 500)):
+        batches += daytotals._put(held, day[part], hashes[part], n[part])
+        assert len(held) <= 2
+    batches.append(daytotals._bucket_rows(held))
+    sums = {}
+    for r in (r for b in batches for r in b.to_pylist()):
+        sums[r["date"], r["part"]] = sums.get((r["date"], r["part"]), 0) + daytotals._counts(r["counts"])
+    assert sum(int(s.sum()) for s in sums.values()) == n.sum()
+    width = daytotals.BUCKETS // daytotals.PARTS
+    for d, b, c in zip(day.tolist(), daytotals.bucket_of(hashes).tolist(), n.tolist()):
+        assert sums[dt.date(1970, 1, 1) + dt.timedelta(days=d), b // width][b % width] >= c
+
+
+def test_lists_of_texts_equal_those_of_their_terms(spark):
+    articles = frame(spark)
+    days = daystats.day_headers(articles.where("date is not null"))
+    bounds = {"max_terms": 9, "max_articles": 3, "max_authors": 2}
+    key = lambda df: sorted((r.date, r.term, r.tf, r.df, r.article_ids, r.authors) for r in df.collect())
+    stored = counted(articles.where("k % 3 = 0"))
+    found = daytotals.day_terms(articles.where("k % 3 <> 0"), F.col("text"), days, stored, **bounds)
+    assert key(found) == key(daystats.day_terms(counted(articles), days, **bounds))
+
+
+def test_wanted_pairs_and_top_terms_equal_those_of_all_counts():
+    some = rows(200)
+    texts, dates = pa.array([r[4] for r in some], pa.string()), pa.array([r[1] for r in some], pa.date32())
+    for options in ({}, {"max_n": 4, "min_token_len": 1}, {"stopwords": (), "allowlist": ()}):
+        rules = grams.Rules.of(**options)
+        counts = grams.counts(texts, rules).to_pylist()
+        assert grams.top(texts, rules, 3).to_pylist() == [sorted(c, key=lambda e: (-e["tf"], e["term"]))[:3] for c in counts]
+        assert grams.top(texts, rules, None).to_pylist() == [sorted(c, key=lambda e: (-e["tf"], e["term"])) for c in counts]
+        pairs = sorted({(r[1], e["term"]) for r, c in zip(some, counts) for e in c if r[1]})[::3] + [(DAY, "not there"), (DAY, "a  b"), (DAY, "")]
+        asked = grams.Wanted(np.array([(d - dt.date(1970, 1, 1)).days for d, _ in pairs]), pa.array([t for _, t in pairs]))
+        place, day, term = asked.met(texts, dates, rules)
+        met = sorted(zip(place.tolist(), asked.terms.take(pa.array(term)).to_pylist()))
+        assert met == sorted((k, e["term"]) for k, (r, c) in enumerate(zip(some, counts)) for e in c if (r[1], e["term"]) in set(pairs))
+        assert all(some[k][1] == dt.date(1970, 1, 1) + dt.timedelta(days=d) for k, d in zip(place.tolist(), day.tolist()))

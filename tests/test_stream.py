@@ -80,3 +80,12 @@ def test_an_empty_batch(spark, tmp_path):
     root = str(tmp_path / "data")
     deltas.write_batch(landed(spark, DAYS).limit(0), 0, root, SETTINGS)
     assert tables.read(spark, root, "terms").count() == 0 == tables.read(spark, root, "days").count()
+
+
+def test_states_of_a_batch_have_a_size_that_its_terms_do_not_set(spark, tmp_path):
+    root = str(tmp_path / "data")
+    deltas.write_batch(landed(spark, DAYS[:4]), 0, root, SETTINGS)
+    deltas.write_batch(landed(spark, DAYS[4:]), 1, root, SETTINGS)
+    (day,) = spark.sql("select date'2026-04-13' d").first()
+    states = deltas.deltas(spark, root, "terms", [day])
+    assert "term" not in states.columns and states.groupBy("part").count().where("count > 2").count() == 0

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -139,3 +140,25 @@ def test_wanted_pairs_and_top_terms_equal_those_of_all_counts():
         met = sorted(zip(place.tolist(), asked.terms.take(pa.array(term)).to_pylist()))
         assert met == sorted((k, e["term"]) for k, (r, c) in enumerate(zip(some, counts)) for e in c if (r[1], e["term"]) in set(pairs))
         assert all(some[k][1] == dt.date(1970, 1, 1) + dt.timedelta(days=d) for k, d in zip(place.tolist(), day.tolist()))
+
+
+def test_words_are_hashed_together_as_one_by_one():
+    words = ["", "a", "don't", "b2", "x" * 32, "x" * 33, "w" * 500]
+    assert grams.word_hashes(pa.array(words)[1:]).tolist() == [zlib.crc32(w.encode()) for w in words[1:]]
+    assert grams.word_hashes(pa.array([], pa.string())).tolist() == []
+
+
+def test_columns_are_made_for_asked_grams_only(monkeypatch):
+    some = rows(200)
+    texts, dates = pa.array([r[4] for r in some], pa.string()), pa.array([r[1] for r in some], pa.date32())
+    rules, made, plain = grams.Rules.of(), [], grams.columns_at
+    everything = grams.totals(texts, dates, rules)
+    # as many places as hashes, and every hash that of its term
+    assert everything[1].tolist() == [grams.hashed(t) for t in everything[2].to_pylist()]
+    asked = set(everything[1].tolist()[::7])
+    monkeypatch.setattr(grams, "columns_at", lambda codes, n, at, max_n: made.append(len(at)) or plain(codes, n, at, max_n))
+    found = grams.totals(texts, dates, rules, lambda days: lambda at, hashes: np.isin(hashes, list(asked)))
+    entries = lambda t: sorted(zip(t[0].tolist(), t[2].to_pylist(), t[3].tolist(), t[4].tolist()))
+    keep = [h in asked for h in everything[1].tolist()]
+    assert entries(found) == [e for e in entries(everything) if grams.hashed(e[1]) in asked] and any(keep)
+    assert sum(made) == found[3].sum() < everything[3].sum() // 2

@@ -1,3 +1,5 @@
+import datetime as dt
+
 from checks import report_queries as report
 from termpulse.operators import daytotals
 
@@ -20,3 +22,13 @@ def test_elections_of_the_api_count_the_texts_once(spark, tmp_path, monkeypatch)
     rows = report.api_elections(spark, path).collect()
     assert sum(read) == 1
     assert len(rows) == 15 and all(r.word and r.evidence_article_ids and r.candidate_terms for r in rows)
+
+
+def test_elections_of_the_export_come_from_its_terms(spark, tmp_path, monkeypatch):
+    path, read = documents(spark, tmp_path), counted_passes(monkeypatch)
+    shown = {str(r.date): (r.word, r.candidate_terms) for r in report.api_elections(spark, path).collect()}
+    read.clear()
+    rows = report.export_roundtrip(spark, path).where("table = 'elections'").collect()
+    assert sum(read) == 1
+    assert {r.a: (r.b, r.more) for r in rows if r.a in shown} == shown
+    assert len(rows) == 30 and dt.date.fromisoformat(min(r.a for r in rows)) == dt.date(2024, 1, 1)

@@ -33,6 +33,12 @@ def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
     return _in_buckets(df.repartition(n, key), n, key, name)
 
 
+def in_buckets(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``dealt`` without a shuffle: each task writes its rows to the files of their buckets, so let them be few and large."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _in_buckets(df, n, key, f"{name}_{uuid.uuid4().hex}")
+
+
 def _in_buckets(df: DataFrame, n: int, key: str, name: str) -> DataFrame:
     """``df`` written in ``n`` buckets by ``key``. Only the plan knows the table: its entry in the catalog is dropped at
     once, and its files stay in the shared folder."""

@@ -191,3 +191,33 @@ def test_lm_probabilities_sum_to_one():
         known = model.probabilities(np.full(len(words), before), units, counts.astype(float))
         unknown = model.probabilities(np.array([before]), np.array([300]), np.array([0.0]))
         assert abs(known.sum() + unknown[0] - 1) < 1e-6
+
+
+def test_a_word_moves_where_the_likelihood_is_greatest():
+    rng = np.random.default_rng(11)
+    pairs, cls, k = rng.poisson(3, (20, 20)), rng.integers(0, 4, 20), 4
+    one = np.eye(k)[cls]
+    counts = np.hstack([pairs @ one, pairs.T @ one, np.diag(pairs)[:, None]])
+    found = lm.moved(one.T @ pairs @ one, cls, counts)
+    for u in range(20):
+        values = [plain_likelihood(pairs, np.append(np.where(np.arange(20) == u, c, cls), k - 1)[:20]) for c in range(k)]
+        assert values[found[u]] >= max(values) - 1e-6
+
+
+def alternating(seed, n):
+    """Words of one ending and length, of which even ones follow odd ones."""
+    rng = np.random.default_rng(seed)
+    return " ".join(f"{2 * int(rng.integers(0, 400)) + k % 2:04d}end" for k in range(n))
+
+
+def test_lm_classes_are_those_of_words(spark):
+    docs = [(d, alternating(d, 400)) for d in range(150)]
+    rows = [r for r in lm.scores(h.frame(spark, [(d, t, "en", "a", 1) for d, t in docs]), group_tokens=5000).collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows) > 0.2
+
+
+def test_lm_rare_words_join_by_their_contexts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARE", 60)
+    docs = [(d, " ".join(f"{w} {'xy'[k % 2]}{k % 2}" for k, w in enumerate(alternating(d, 200).split()))) for d in range(60)]
+    rows = [r for r in lm.scores(h.frame(spark, [(d, t, "en", "a", 1) for d, t in docs]), group_tokens=3000).collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows) > 0.2

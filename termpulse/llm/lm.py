@@ -59,8 +59,22 @@ def unit_of(word: bytes, frequent: dict[bytes, int]) -> int:
     return known if known is not None else 1 + FREQUENT + zlib.crc32(word[-3:], min(len(word), 15) // 3) % ENDINGS
 
 
+#: CRC-32 of one byte.
+_CRC = np.array([zlib.crc32(bytes([b])) ^ zlib.crc32(b"\0") for b in range(256)], np.uint32)
+
+
 def units_of(words: list[bytes], frequent: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((unit_of(w, frequent) for w in words), dtype=np.int64, count=len(words))
+    """``unit_of`` of all words at once."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    data, ends = np.frombuffer(b"".join(words), dtype=np.uint8), np.cumsum(sizes)
+    found = ~(np.minimum(sizes, 15) // 3).astype(np.uint32)
+    for back in (3, 2, 1):
+        long = np.flatnonzero(sizes >= back)
+        some = found[long]
+        found[long] = _CRC[(some ^ data[ends[long] - back]) & 0xFF] ^ (some >> 8)
+    out = np.where(sizes > 0, 1 + FREQUENT + (~found % ENDINGS).astype(np.int64), 0)
+    known = np.fromiter((frequent.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    return np.where((known >= 0) & (sizes > 0), known, out)
 
 
 def _self_log(x: np.ndarray) -> np.ndarray:
@@ -69,7 +83,8 @@ def _self_log(x: np.ndarray) -> np.ndarray:
 
 def gains(joint: np.ndarray, after: np.ndarray, before: np.ndarray, own) -> np.ndarray:
     """What joining each class adds to the likelihood: of one or of many words (first axis), each left out of its ``joint``."""
-    out_total, in_total, turned = joint.sum(axis=-1), joint.sum(axis=-2), joint.swapaxes(-1, -2)
+    # other words are followed by it and follow it in any class
+    out_total, in_total, turned = joint.sum(axis=-1) + before, joint.sum(axis=-2) + after, joint.swapaxes(-1, -2)
     gain = (_self_log(joint + after[..., None, :]) - _self_log(joint)).sum(axis=-1) + (_self_log(turned + before[..., None, :]) - _self_log(turned)).sum(axis=-1)
     d, own = np.diagonal(joint, axis1=-2, axis2=-1), np.asarray(own)[..., None]
     gain += _self_log(d + after + before + own) - _self_log(d + after) - _self_log(d + before) + _self_log(d)
@@ -262,10 +277,18 @@ class Words:
     counts: np.ndarray
     end_count: int
 
+    def moving(self, words: list[bytes]) -> np.ndarray:
+        """The codes of the words that move, -1 for others."""
+        return np.fromiter((self.numbers.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+
+    def others(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
+        """The codes of some words that do not move."""
+        return len(self.numbers) + units_of([words[k] for k in at.tolist()], self.model.frequent)
+
     def codes(self, words: list[bytes]) -> np.ndarray:
-        found = np.fromiter((self.numbers.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        others = np.flatnonzero(found < 0)
-        found[others] = len(self.numbers) + units_of([words[k] for k in others.tolist()], self.model.frequent)
+        found = self.moving(words)
+        at = np.flatnonzero(found < 0)
+        found[at] = self.others(words, at)
         return found
 
 
@@ -471,7 +494,8 @@ def joined_by_contexts(rows: DataFrame, joint: np.ndarray) -> DataFrame:
             codes, n = word.indices.to_numpy(zero_copy_only=False), len(word.dictionary)
             contexts = table.column("contexts").chunk(0)
             owner = np.repeat(codes, pc.binary_length(contexts).to_numpy(zero_copy_only=False) // 2).astype(np.int64) * CLASSES
-            classes = np.frombuffer(b"".join(contexts.to_pylist()), dtype="u1").reshape(-1, 2)
+            ends = np.frombuffer(contexts.buffers()[1], dtype=np.int32)[contexts.offset : contexts.offset + len(contexts) + 1]
+            classes = np.frombuffer(contexts.buffers()[2] or b"", dtype="u1")[ends[0] : ends[-1]].reshape(-1, 2)
             before, after = (np.bincount(owner + classes[:, k], minlength=n * CLASSES).reshape(n, CLASSES) for k in (0, 1))
             # rounded, as the order of sums must not decide
             cls, counts = np.round(after @ fits.T + before @ fits, 6).argmax(axis=1), before.sum(axis=1)
@@ -519,14 +543,18 @@ def moving_words(vocabulary: DataFrame) -> Words:
 
 def group_classes(row: dict, words: Words, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class, count in training documents) of each word of a group that has met its lists."""
-    codes = words.codes(row["words"].split(b"\n"))
-    known, counts = np.flatnonzero(codes < len(words.numbers)), np.zeros(len(codes))
-    classes = cls[codes]
-    counts[known] = words.counts[codes[known]]
+    parts = row["words"].split(b"\n")
+    codes, counts = words.moving(parts), np.zeros(len(parts))
+    known = np.flatnonzero(codes >= 0)
+    classes = np.full(len(parts), -1, dtype=np.int64)
+    classes[known], counts[known] = cls[codes[known]], words.counts[codes[known]]
     counts[0] = words.end_count
     for one in row["lists"] or ():
         at = np.frombuffer(one["at"], dtype="<i4")
         counts[at], classes[at] = np.frombuffer(one["c"], dtype="<i8"), np.frombuffer(one["cls"], dtype="u1")
+    # the end, and words that no training document has
+    at = np.flatnonzero(classes < 0)
+    classes[at] = cls[words.others(parts, at)]
     return classes, counts
 
 

@@ -89,3 +89,23 @@ def test_states_of_a_batch_have_a_size_that_its_terms_do_not_set(spark, tmp_path
     (day,) = spark.sql("select date'2026-04-13' d").first()
     states = deltas.deltas(spark, root, "terms", [day])
     assert "term" not in states.columns and states.groupBy("part").count().where("count > 2").count() == 0
+
+
+def test_first_items_are_found_on_columns_and_their_state_is_keyed_in_the_jvm(spark, tmp_path):
+    load = landed(spark, DAYS)
+    load.write.parquet(str(tmp_path / "in"))
+    rows = deltas.first_wins(spark.readStream.schema(load.schema).parquet(str(tmp_path / "in")))
+    stream = rows.writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True)
+    query = stream.option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "Pandas" not in plan and "StreamingDeduplicate" in plan
+    assert spark.table("firsts").count() == load.count()
+
+
+def test_an_order_with_a_missing_number_comes_first(spark, tmp_path):
+    rows = raw(spark, [("a", "1", DAYS[0][2], "first agents"), ("b", "2", DAYS[0][2], "second agents")])
+    order = F.when(F.col("external_id") == "2", F.array(F.lit(None).cast("bigint"))).otherwise(F.array(F.lit(1).cast("bigint")))
+    rows = rows.withColumn("item_ord", order).withColumn("url_canonical", F.lit("https://x.com/same")).withColumn("landed_at", F.lit(LANDED))
+    root = run(spark, tmp_path, [rows])
+    assert [r.source_id for r in tables.read(spark, root, "articles").collect()] == ["b"]

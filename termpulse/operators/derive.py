@@ -52,11 +52,12 @@ def derive_articles(
     )
 
 
-def full_texts(items: DataFrame, as_of: Column) -> DataFrame:
-    """``article_id, article_key, content_text, bucket_date`` for the unpublished full-text table."""
+def full_texts(items: DataFrame, as_of: Column, *more: str) -> DataFrame:
+    """``article_id, article_key, content_text, bucket_date`` and the columns ``more`` for the unpublished full-text table."""
     return items.select(
         art.article_id(F.col("source_id"), F.col("external_id")).alias("article_id"),
         art.article_key(F.col("source_id"), F.col("external_id")).alias("article_key"),
         F.coalesce("content_text", F.lit("")).alias("content_text"),
         art.bucket_date(F.col("published_at"), as_of).alias("bucket_date"),
+        *more,
     )

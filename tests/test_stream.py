@@ -109,3 +109,14 @@ def test_an_order_with_a_missing_number_comes_first(spark, tmp_path):
     rows = rows.withColumn("item_ord", order).withColumn("url_canonical", F.lit("https://x.com/same")).withColumn("landed_at", F.lit(LANDED))
     root = run(spark, tmp_path, [rows])
     assert [r.source_id for r in tables.read(spark, root, "articles").collect()] == ["b"]
+
+
+def test_stats_read_the_texts_of_their_days_in_place(spark, tmp_path):
+    root = str(tmp_path / "data")
+    deltas.write_batch(landed(spark, DAYS), 0, root, SETTINGS)
+    rows = deltas._texts(spark, root, [dt.date(2026, 4, 13)])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert all("/fulltext/" in file for file in rows.inputFiles())
+    articles = tables.read(spark, root, "articles").where("bucket_date = '2026-04-13'")
+    assert sorted((r.article_id, r.author) for r in rows.collect()) == sorted((r.article_id, r.author or None) for r in articles.collect())

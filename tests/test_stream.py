@@ -120,3 +120,25 @@ def test_stats_read_the_texts_of_their_days_in_place(spark, tmp_path):
     assert all("/fulltext/" in file for file in rows.inputFiles())
     articles = tables.read(spark, root, "articles").where("bucket_date = '2026-04-13'")
     assert sorted((r.article_id, r.author) for r in rows.collect()) == sorted((r.article_id, r.author or None) for r in articles.collect())
+
+
+def test_a_large_load_lands_in_many_files_and_is_one_batch(spark, tmp_path, monkeypatch):
+    from checks import report_queries
+
+    texts = [(k, "s", f"agents {k % 5} meet mcp", 20) for k in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, source string, text string, n_chars bigint")
+    docs.repartition(3).write.parquet(str(tmp_path / "sf/documents.parquet"))
+    monkeypatch.setattr(report_queries, "shared_dir", lambda spark: str(tmp_path / "out"))
+    batches = []
+    write = deltas.write_batch
+    monkeypatch.setattr(deltas, "write_batch", lambda batch, k, *rest: (batches.append(k), write(batch, k, *rest)))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        assert report_queries._parts(spark, str(tmp_path / "sf")) == 3
+        found = report_queries.stream_first_wins(spark, str(tmp_path / "sf")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (landing,) = (tmp_path / "out").glob("stream-*/landing")
+    assert len(list(landing.glob("part=*/*.parquet"))) == 3 * report_queries.LOADS
+    assert batches == [0, 1, 2] and len(found) == 400 and {str(r.first_seen_date) for r in found} == {"2024-01-28", "2024-01-29", "2024-01-30"}

@@ -45,8 +45,9 @@ def day_terms_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_terms_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All terms of every day with all of their articles and authors."""
-    counts = t.counted(spark, sf_dir)
-    full = daystats.day_terms(counts, daystats.day_headers(counts), max_terms=None, max_articles=None, max_authors=None)
+    rows, headers = t.as_raw_items(t.table(spark, sf_dir, "documents")), stage(t.days(spark, sf_dir), "day-headers")
+    bounds = {"max_terms": None, "max_articles": None, "max_authors": None}
+    full = daytotals.day_terms(rows, F.col("content_text"), headers, stopwords=t.stopwords(), **bounds)
     return full.select("date", "term", "tf", "df", _list("article_ids"), _list("authors"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from termpulse.functions import grams
 from termpulse.functions import text as txt
-from termpulse.operators import daystats, daytotals, toplists
+from termpulse.operators import daystats, daytotals, toplists, windows
 
 DAY = dt.date(2024, 1, 1)
 WORDS = ["the", "and", "prompt", "injection", "o1", "x", "don't", "it's", "-a", "b-", "'q'", "1st", "b2-", "--", "Ünder", "café", "the.and", "re-use"]
@@ -162,3 +162,24 @@ def test_columns_are_made_for_asked_grams_only(monkeypatch):
     keep = [h in asked for h in everything[1].tolist()]
     assert entries(found) == [e for e in entries(everything) if grams.hashed(e[1]) in asked] and any(keep)
     assert sum(made) == found[3].sum() < everything[3].sum() // 2
+
+
+def test_whole_lists_of_texts_equal_those_of_all_states_and_move_less(spark, monkeypatch):
+    monkeypatch.setattr(windows, "SIZE", 1000)
+    monkeypatch.setattr(windows, "PIECE", 2000)
+    monkeypatch.setattr(windows, "ENTRIES", 50)
+    articles = frame(spark).withColumn("article_id", F.when(F.col("k") % 11 != 0, F.concat(F.lit("s--"), (F.col("k") % 250).cast("string"))))
+    # a day of one article keeps all of its terms
+    articles = articles.union(articles.where("k = 7").withColumn("date", F.lit(dt.date(2024, 2, 1))))
+    days = daystats.day_headers(articles.where("date is not null"))
+    key = lambda df: sorted((r.date, r.term, r.tf, r.df, r.article_ids, r.authors) for r in df.collect())
+    for table, options in ((1, {}), (1 << 25, {"max_n": 4, "min_token_len": 1}), (1 << 25, {"max_n": 1, "stopwords": (), "allowlist": ()})):
+        monkeypatch.setattr(windows, "TABLE", table)
+        counts = txt.with_term_counts(articles, F.col("text"), keep=("date", "article_id", "author"), **options)
+        for bounds in ({"max_articles": None, "max_authors": None}, {"max_articles": 3, "max_authors": 2}):
+            found = daytotals.day_terms(articles, F.col("text"), days, max_terms=None, **bounds, **options)
+            assert key(found) == key(daystats.day_terms(counts, days, max_terms=None, **bounds)) != []
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # tokens are moved, not terms
+    assert "term_counts" not in plan and plan.count("RepartitionByExpression [date") == 2
+    assert {"data", "words"} <= {c.split("#")[0] for c in plan.split("MapInArrow")[2].split("]")[0].replace("[", " ").replace(",", " ").split()}
